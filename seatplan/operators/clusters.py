@@ -7,6 +7,7 @@ entry per cluster, so no row pairs are ever formed between data rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
@@ -53,9 +54,16 @@ def minmax_columns(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled
     return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
 
 
+ROWS_PER_PARTITION = 100_000
+
+
 def steady_order(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Fixed hash partitions, sorted inside: the seeded start of K-means depends on both."""
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Hash partitions, sorted inside: the seeded start of K-means depends on both.
+
+    Their number follows from the row count, so that the same rows cluster alike
+    on any cluster. Call it on a written table, where counting reads footers only.
+    """
+    parts = partitions or max(1, math.ceil(df.count() / ROWS_PER_PARTITION))
     return df.repartition(parts, key).sortWithinPartitions(key)
 
 
@@ -130,7 +138,10 @@ def with_priority(clustered: DataFrame, cluster: str, columns: Sequence[str] = F
 
 
 def cluster_districts(index: DataFrame, key: str, *, k: int = 4, seed: int = 42, max_iter: int = 300) -> DataFrame:
-    """Assemble, scale, cluster, and label districts by priority; adds ``cluster_id`` and ``features``."""
+    """Assemble, scale, cluster, and label districts by priority; adds ``cluster_id`` and ``features``.
+
+    Every pass of the fit reads the input again: give it a written mart.
+    """
     scaled = scale_vector(assemble(steady_order(index, key)))
     model = fit_kmeans(scaled, k, seed=seed, max_iter=max_iter)
     labelled = model.transform(scaled).withColumnRenamed("prediction", "cluster_id").drop("features_raw")
@@ -189,14 +200,14 @@ def davies_bouldin(df: DataFrame, x: str, label: str, centers: DataFrame | None
     shape = center.join(inner, label, "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
     every = shape.agg(F.collect_list(F.struct(label, "centroid", "s")).alias("all")).scalar()
     ratios = F.transform(
-        every,
+        "_all",
         lambda o: F.when(
             (o[label] != F.col(label)) & (_sq_distance(o["centroid"], F.col("centroid")) > 0),
             (F.col("s") + o["s"]) / F.sqrt(_sq_distance(o["centroid"], F.col("centroid"))),
         ),
     )
     worst = F.coalesce(F.array_max(ratios), F.lit(0.0))
-    return shape.agg(F.round(F.coalesce(F.avg(worst), F.lit(0.0)), digits).alias("davies_bouldin"))
+    return shape.withColumn("_all", every).agg(F.round(F.coalesce(F.avg(worst), F.lit(0.0)), digits).alias("davies_bouldin"))
 
 
 def silhouette_rows(df: DataFrame, x: str, label: str, out: str = "silhouette") -> DataFrame:
@@ -215,12 +226,12 @@ def silhouette_rows(df: DataFrame, x: str, label: str, out: str = "silhouette")
     )
     every = stats.agg(F.collect_list(F.struct(F.col(label).alias("c"), "mean", "sq", "n")).alias("all")).scalar()
     spread = F.transform(
-        every,
+        "_all",
         lambda o: F.struct(
             o["c"].alias("c"), o["n"].alias("n"), (F.col("_sq") + o["sq"] - 2.0 * _dot(F.col("_x"), o["mean"])).alias("d")
         ),
     )
-    measured = rows.withColumn("_d", spread).withColumns(
+    measured = rows.withColumn("_all", every).withColumn("_d", spread).withColumns(
         {
             "_own": F.get(F.filter("_d", lambda o: o["c"] == F.col(label)), F.lit(0)),
             "_near": F.array_min(F.transform(F.filter("_d", lambda o: o["c"] != F.col(label)), lambda o: o["d"])),
@@ -229,7 +240,7 @@ def silhouette_rows(df: DataFrame, x: str, label: str, out: str = "silhouette")
     n = F.col("_own")["n"]
     a = F.when(n > 1, F.col("_own")["d"] * n / (n - 1))
     b = F.col("_near")
-    return measured.withColumn(out, _silhouette(n, a, b)).drop("_x", "_sq", "_d", "_own", "_near")
+    return measured.withColumn(out, _silhouette(n, a, b)).drop("_x", "_sq", "_all", "_d", "_own", "_near")
 
 
 def _silhouette(n: Column, a: Column, b: Column) -> Column:
@@ -256,8 +267,8 @@ def silhouette_euclidean_rows(df: DataFrame, x: str, label: str, out: str = "sil
     def total(xs: Column) -> Column:
         return F.aggregate(xs, F.lit(0.0), lambda s, y: s + F.sqrt(_sq_distance(F.col("_x"), y)))
 
-    spread = F.transform(every, lambda o: F.struct(o["c"].alias("c"), F.size(o["xs"]).alias("n"), total(o["xs"]).alias("t")))
-    measured = rows.withColumn("_d", spread).withColumns(
+    spread = F.transform("_all", lambda o: F.struct(o["c"].alias("c"), F.size(o["xs"]).alias("n"), total(o["xs"]).alias("t")))
+    measured = rows.withColumn("_all", every).withColumn("_d", spread).withColumns(
         {
             "_own": F.get(F.filter("_d", lambda o: o["c"] == F.col(label)), F.lit(0)),
             "_near": F.array_min(F.transform(F.filter("_d", lambda o: o["c"] != F.col(label)), lambda o: o["t"] / o["n"])),
@@ -265,7 +276,7 @@ def silhouette_euclidean_rows(df: DataFrame, x: str, label: str, out: str = "sil
     )
     n = F.col("_own")["n"]
     a = F.when(n > 1, F.col("_own")["t"] / (n - 1))
-    return measured.withColumn(out, _silhouette(n, a, F.col("_near"))).drop("_x", "_d", "_own", "_near")
+    return measured.withColumn(out, _silhouette(n, a, F.col("_near"))).drop("_x", "_all", "_d", "_own", "_near")
 
 
 def pca_plane(df: DataFrame, columns: Sequence[str] = FEATURES) -> tuple[DataFrame, list[float]]:

@@ -43,12 +43,12 @@ def _nearest_in_array(points, sites, point_id, site_id, lat, lon) -> DataFrame:
     ).scalar()
     best = F.array_min(
         F.transform(
-            packed,
+            "_all",
             lambda o: F.struct(planar_degrees(F.col(lat), F.col(lon), o["y"], o["x"]).alias("d"), o["s"].alias("s")),
         )
     )
     return (
-        points.select(point_id, best.alias("_best"))
+        points.withColumn("_all", packed).select(point_id, best.alias("_best"))
         .where(F.col("_best").isNotNull())
         .select(point_id, F.col("_best.s").alias(site_id), F.col("_best.d").alias("distance_deg"))
     )
