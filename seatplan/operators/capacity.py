@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatplan.functions.numbers import add_or_zero, or_zero, ratio, units_needed
+from seatplan.functions.numbers import add_or_zero, or_zero, units_needed
 from seatplan.operators.cleaning import drop_blank_keys
 from seatplan.operators.ranking import rank_mart
 from seatplan.operators.snapshots import latest_year_only
@@ -31,7 +31,7 @@ def registry_totals(
     if not keep_blank_keys:
         rows = drop_blank_keys(rows, key)
     label = [F.min(name).alias(name)] if name else []
-    sums = [or_zero(F.sum(source)).cast("long").alias(out) for out, source in totals.items()]
+    sums = [F.expr(f"CAST(coalesce(sum(`{source}`), 0) AS BIGINT) AS `{out}`") for out, source in totals.items()]
     return rows.groupBy(key).agg(
         *label, *sums, F.count("*").alias(schools_as), F.max(year).cast("int").alias("registry_year")
     )
@@ -54,26 +54,16 @@ def capacity_floor(registry: DataFrame, pupils: DataFrame, key: str) -> DataFram
 
 def demand_gap(projection: DataFrame, capacity: DataFrame, key: str) -> DataFrame:
     """Projected demand against capacity. Both sides are district marts; AQE picks the join."""
-    known = capacity.select(
-        key, *[c for c in ("capacity", "seats", "pupils", "rooms", "schools") if c in capacity.columns],
-        F.lit(True).alias("capacity_known"),
-    )
-    gap = F.col("demand_total") - F.col("capacity")
-    return (
-        projection.join(known, key, "left")
-        .withColumns(
-            {
-                "capacity": or_zero(F.col("capacity")).cast("long"),
-                "capacity_known": F.coalesce("capacity_known", F.lit(False)),
-            }
-        )
-        .withColumns(
-            {
-                "gap": gap.cast("long"),
-                "unserved": F.greatest(gap, F.lit(0)).cast("long"),
-                "utilization_pct": F.round(ratio(F.col("demand_total"), F.col("capacity")) * 100, 1),
-            }
-        )
+    carried = [c for c in ("seats", "pupils", "rooms", "schools") if c in capacity.columns]
+    known = capacity.select(key, F.col("capacity").alias("_capacity"), *carried, F.lit(True).alias("_known"))
+    return projection.join(known, key, "left").selectExpr(
+        *projection.columns,
+        "CAST(coalesce(_capacity, 0) AS BIGINT) AS capacity",
+        *carried,
+        "coalesce(_known, false) AS capacity_known",
+        "demand_total - coalesce(_capacity, 0) AS gap",
+        "greatest(demand_total - coalesce(_capacity, 0), 0L) AS unserved",
+        "CASE WHEN _capacity > 0 THEN round(demand_total / _capacity * 100, 1) END AS utilization_pct",
     )
 
 

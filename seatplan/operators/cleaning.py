@@ -36,10 +36,11 @@ def add_keys(
     period_as: str = "periode_norm",
 ) -> DataFrame:
     """Add the display name, the join key and, when there is one, the clean period."""
-    added = {norm_as: normalize_name(F.col(name_col)), key_as: join_key(normalize_name(F.col(name_col)))}
+    named = df.withColumn(norm_as, normalize_name(F.col(name_col)))
+    added = {key_as: join_key(F.col(norm_as))}
     if period_col is not None:
         added[period_as] = normalize_period(F.col(period_col))
-    return df.withColumns(added)
+    return named.withColumns(added)
 
 
 def one_per_grain(df: DataFrame, grain: Sequence[str], order: Sequence[str] = (), *, keep: str = "first") -> DataFrame:

@@ -53,20 +53,18 @@ def error_extremes(detail: DataFrame, key: str) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed. Empty bins are listed with 0."""
-    ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    bounds = ends.select(F.struct("lo", "hi")).scalar()
+    bounds = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     lo, hi = bounds["lo"], bounds["hi"]
-    width = (hi - lo) / bins
-    slot = F.when(hi > lo, F.least(F.floor((F.col(value) - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    slot = F.when(hi > lo, F.least(F.floor((F.col(value) - lo) / ((hi - lo) / bins)), F.lit(bins - 1))).otherwise(F.lit(0))
     counted = (
         df.where(F.col(value).isNotNull()).groupBy(slot.cast("int").alias("bin")).agg(F.count("*").alias("n"))
     )
-    every = ends.select(F.col("lo"), F.col("hi"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return every.join(counted, "bin", "left").select(
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), lo.alias("lo"), hi.alias("hi"))
+    return every.join(counted, "bin", "left").selectExpr(
         "bin",
-        (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins).alias("bin_from"),
-        (F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / bins).alias("bin_to"),
-        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+        f"lo + bin * (hi - lo) / {bins} AS bin_from",
+        f"lo + (bin + 1) * (hi - lo) / {bins} AS bin_to",
+        "coalesce(n, 0L) AS n",
     )
 
 

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatplan.functions.numbers import clip, or_zero, ratio, step_label
+from seatplan.functions.numbers import step_label
 from seatplan.operators.ranking import rank_mart
 
 # Component weights, utilisation that counts as full, score steps.
@@ -26,39 +25,39 @@ def categorize(score: Column, steps: Sequence[tuple[float, str]] = CATEGORIES, l
 
 def index_inputs(gap: DataFrame, key: str, base_year: int, target_year: int, name: str | None = None) -> DataFrame:
     """Base and target year side by side: one aggregation of the gap mart, no self-join."""
-    base, target = F.col("year") == base_year, F.col("year") == target_year
-    label = [F.min(name).alias(name)] if name else []
+
+    def in_year(column: str, year: int) -> str:
+        return f"max(CASE WHEN year = {year} THEN {column} END)"
+
+    label = [f"min(`{name}`) AS `{name}`"] if name else []
+    measures = [
+        *label,
+        f"CAST({in_year('demand_total', base_year)} AS DOUBLE) AS demand_base",
+        f"CAST({in_year('demand_total', target_year)} AS DOUBLE) AS demand_target",
+        "CAST(max(capacity) AS DOUBLE) AS capacity",
+        "max(schools) AS schools",
+        f"coalesce({in_year('utilization_pct', target_year)}, 0D) AS utilization_target",
+        f"CAST(coalesce({in_year('unserved', target_year)}, 0) AS DOUBLE) AS deficit_target",
+    ]
     return (
-        gap.where((base | target) & F.col("capacity_known"))
-        .groupBy(key)
-        .agg(
-            *label,
-            F.max(F.when(base, F.col("demand_total"))).cast("double").alias("demand_base"),
-            F.max(F.when(target, F.col("demand_total"))).cast("double").alias("demand_target"),
-            F.max(F.col("capacity")).cast("double").alias("capacity"),
-            F.max(F.col("schools")).alias("schools"),
-            or_zero(F.max(F.when(target, F.col("utilization_pct")))).cast("double").alias("utilization_target"),
-            or_zero(F.max(F.when(target, F.col("unserved")))).cast("double").alias("deficit_target"),
-        )
-        .where(F.col("demand_base").isNotNull() & F.col("demand_target").isNotNull())
+        gap.where(f"year IN ({base_year}, {target_year}) AND capacity_known")
+        .groupBy(key).agg(*[F.expr(m) for m in measures])
+        .where("demand_base IS NOT NULL AND demand_target IS NOT NULL")
     )
 
 
 def gap_index(
     inputs: DataFrame, key: str, *, weights=WEIGHTS, ranker: Callable[..., DataFrame] = rank_mart
 ) -> DataFrame:
-    shortage = F.col("demand_target") - F.col("capacity")
-    growth = F.col("demand_target") - F.col("demand_base")
-    rates = inputs.withColumns(
-        {
-            "deficit_rate": F.coalesce(F.greatest(F.lit(0.0), ratio(shortage, F.col("demand_target"))), F.lit(0.0)),
-            "utilization_norm": F.least(F.lit(1.0), F.col("utilization_target") / F.lit(UTILIZATION_CEILING)),
-            "growth_rate": F.when(F.col("demand_base") > 0, clip(growth / F.col("demand_base"), 0.0, 1.0)).otherwise(F.lit(0.0)),
-        }
-    )
-    raw = reduce(lambda a, b: a + b, [F.lit(w) * F.col(c) for c, w in weights.items()])
-    scored = rates.withColumn("index_raw", raw).withColumn(
-        "index_score", F.round(F.least(F.lit(100.0), F.col("index_raw") * 100.0), 2)
+    """Deficit, utilisation and growth rates, their weighted sum, its score and category, and the rank."""
+    weighted = " + ".join(f"{w}D * {c}" for c, w in weights.items())
+    scored = inputs.selectExpr(
+        "*",
+        "CASE WHEN demand_target > 0 THEN greatest(0D, (demand_target - capacity) / demand_target) ELSE 0D END AS deficit_rate",
+        f"least(1D, utilization_target / {UTILIZATION_CEILING}D) AS utilization_norm",
+        "CASE WHEN demand_base > 0 THEN least(1D, greatest(0D, (demand_target - demand_base) / demand_base)) ELSE 0D END AS growth_rate",
+        f"{weighted} AS index_raw",
+        "round(least(100D, index_raw * 100D), 2) AS index_score",
     )
     labelled = scored.withColumn("index_category", categorize(F.col("index_score")))
     return ranker(labelled, [F.desc("index_score"), F.asc(key)], "index_rank")

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatplan.functions.numbers import add_or_zero, or_zero
+from seatplan.functions.numbers import add_or_zero
 
 # How the population table spells the ages 0..16, and the two sexes.
 AGE_WORDS = (
@@ -45,15 +44,15 @@ def age_vector_from_long(
 ) -> DataFrame:
     """As above from (key, age, people) rows, in a single aggregation."""
     sums = [
-        or_zero(F.sum(F.when(F.col(age) == a, F.col(people)))).cast("long").alias(f"{prefix}{a}") for a in ages
+        F.expr(f"CAST(coalesce(sum(CASE WHEN `{age}` = {a} THEN `{people}` END), 0) AS BIGINT) AS {prefix}{a}") for a in ages
     ]
     label = [F.min(name).alias(name)] if name else []
     return df.groupBy(key).agg(*label, *sums)
 
 
 def unpivot_ages(vector: DataFrame, ids: Sequence[str], *, ages: Iterable[int] = AGES, prefix: str = "usia_") -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(a).alias("age"), F.col(f"{prefix}{a}").alias("people")) for a in ages])
-    return vector.select(*ids, F.inline(pairs))
+    pairs = ", ".join(f"named_struct('age', {a}, 'people', `{prefix}{a}`)" for a in ages)
+    return vector.select(*ids, F.expr(f"inline(array({pairs}))"))
 
 
 def cohort_projection(
@@ -76,19 +75,13 @@ def cohort_projection(
     """
     known = set(ages)
 
-    def band(low: int, high: int, k: int) -> Column:
-        present = [F.col(f"{prefix}{a}") for a in range(low - k, high - k + 1) if a in known]
-        return reduce(lambda x, y: x + y, present, F.lit(0).cast("long"))
+    def filled_by(low: int, high: int, k: int) -> str:
+        present = [f"`{prefix}{a}`" for a in range(low - k, high - k + 1) if a in known]
+        return " + ".join(present) or "0L"
 
     years = []
     for k in range(horizon + 1):
-        parts = {name: band(low, high, k) for name, (low, high) in bands.items()}
-        total = reduce(lambda x, y: x + y, parts.values())
-        years.append(
-            F.struct(
-                F.lit(base_year + k).alias(year_as),
-                *[v.alias(n) for n, v in parts.items()],
-                total.alias(total_as),
-            )
-        )
-    return vector.select(*ids, F.inline(F.array(*years)))
+        parts = {name: filled_by(low, high, k) for name, (low, high) in bands.items()}
+        fields = ", ".join(f"'{n}', {v}" for n, v in parts.items())
+        years.append(f"named_struct('{year_as}', {base_year + k}, {fields}, '{total_as}', {' + '.join(parts.values())})")
+    return vector.select(*ids, F.expr(f"inline(array({', '.join(years)}))"))

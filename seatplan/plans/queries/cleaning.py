@@ -24,7 +24,7 @@ from seatplan.plans.standins import (
 
 def _dirty_customers(spark, sf):
     rows = table(spark, sf, "customer").join(nations(spark, sf, "c_nationkey"), "c_nationkey")
-    return rows.select("c_custkey", dirty_name(F.col("n_name"), F.col("c_custkey")).alias("kecamatan"), "c_mktsegment")
+    return rows.select("c_custkey", dirty_name("n_name", "c_custkey").alias("kecamatan"), "c_mktsegment")
 
 
 _CUSTOMERS = f"SELECT c_custkey, {_dirty('n_name', 'c_custkey')} AS kecamatan, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey"
@@ -63,7 +63,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = table(spark, sf, "orders").select(
-        "o_orderkey", F.lit("x").alias("kecamatan"), dirty_period(F.month("o_orderdate")).alias("periode")
+        "o_orderkey", F.lit("x").alias("kecamatan"), dirty_period("month(o_orderdate)").alias("periode")
     )
     return keyed(rows, "periode").select("o_orderkey", "period_norm")
 

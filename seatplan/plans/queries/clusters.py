@@ -172,7 +172,7 @@ def _(spark, sf):
 def index_mart(spark, sf):
     """The index written as a table: a fit passes over its input many times."""
     root = work_path(spark, "index")
-    writers.overwrite_table(gap_index(spark, sf), root, "index", small=True)
+    writers.overwrite_table(gap_index(spark, sf), root, "index")
     return readers.read_table(spark, root, "index")
 
 

@@ -69,19 +69,20 @@ _SEX_AGE = [(a, s, f"{w}_{s}") for a, w in enumerate(projection.AGE_WORDS) for s
 
 def wide_population(spark, sf):
     """Monthly wide age rows per district and market segment (as sub-district), with NULL for no people."""
-    age, sex = F.col("o_orderkey") % 16, F.floor(F.col("o_orderkey") / 16) % 2
-    hit = {c: (age == a) & (sex == projection.SEX_SUFFIXES.index(s)) for a, s, c in _SEX_AGE}
+    hit = {
+        c: f"count_if(o_orderkey % 16 = {a} AND o_orderkey div 16 % 2 = {projection.SEX_SUFFIXES.index(s)})" for a, s, c in _SEX_AGE
+    }
     monthly = (
         table(spark, sf, "orders")
         .where(F.col("o_orderdate") < F.lit(COMPLETE_BEFORE).cast("timestamp_ntz"))
         .groupBy("o_custkey", F.year("o_orderdate").alias("data_tahun"), F.month("o_orderdate").alias("data_bulan"))
-        .agg(*[F.count_if(h).alias(c) for c, h in hit.items()])
+        .agg(*[F.expr(f"{h} AS {c}") for c, h in hit.items()])
     )
     customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
     return (
         monthly.join(customer, "o_custkey")
         .groupBy("c_nationkey", F.col("c_mktsegment").alias("nama_kelurahan"), "data_tahun", "data_bulan")
-        .agg(*[F.nullif(F.sum(c), F.lit(0)).alias(c) for c in hit])
+        .agg(*[F.expr(f"nullif(sum({c}), 0) AS {c}") for c in hit])
         .join(nations(spark, sf, "c_nationkey"), "c_nationkey")
         .withColumn("kecamatan", F.concat(F.lit("Kec. "), F.col("n_name")))
         .drop("c_nationkey", "n_name")

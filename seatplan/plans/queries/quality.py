@@ -227,7 +227,7 @@ def full_report(spark, sf):
 def _(spark, sf):
     """The whole report, written as a table and read back."""
     root = work_path(spark, "dq")
-    writers.overwrite_table(full_report(spark, sf), root, "gold_data_quality_report", small=True)
+    writers.overwrite_table(full_report(spark, sf), root, "gold_data_quality_report")
     return readers.read_table(spark, root, "gold_data_quality_report")
 
 

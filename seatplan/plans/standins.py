@@ -14,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatplan.functions.calendar import MONTHS, month_name
-from seatplan.functions.numbers import or_zero
+from seatplan.functions.calendar import MONTHS
 from seatplan.operators import capacity as cap
 from seatplan.operators import evaluation, index, projection
 from seatplan.operators.cleaning import add_keys
@@ -27,24 +26,43 @@ COMPLETE_BEFORE = "2001-08-01"  # the last month holds a single day
 KEY, NAME, PERIOD = "district_key", "district_name", "period_norm"
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table under its known schema, so that no job has to look for one."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
-def dirty_name(name: Column, seed: Column) -> Column:
-    return (
-        F.when(seed % 4 == 0, F.concat(F.lit("Kec. "), name))
-        .when(seed % 4 == 1, F.concat(F.lit("kel."), F.lower(name)))
-        .when(seed % 4 == 2, F.concat(F.lit("  "), F.replace(name, F.lit("_"), F.lit("  _"))))
-        .otherwise(name)
+def dirty_name(name: str, seed: str) -> Column:
+    return F.expr(
+        f"""CASE ({seed}) % 4 WHEN 0 THEN concat('Kec. ', {name}) WHEN 1 THEN concat('kel.', lower({name}))
+        WHEN 2 THEN concat('  ', replace({name}, '_', '  _')) ELSE {name} END"""
     )
 
 
-def dirty_period(month: Column) -> Column:
-    name = month_name(month)
-    return F.when(month % 3 == 0, F.concat(F.lit(" "), F.upper(name))).when(
-        month % 3 == 1, F.concat(F.lower(name), F.lit("  "))
-    ).otherwise(name)
+def dirty_period(month: str) -> Column:
+    name = f"array({', '.join(repr(m) for m in MONTHS)})[{month} - 1]"
+    return F.expr(
+        f"CASE {month} % 3 WHEN 0 THEN concat(' ', upper({name})) WHEN 1 THEN concat(lower({name}), '  ') ELSE {name} END"
+    )
 
 
 def keyed(df: DataFrame, period: str | None = None) -> DataFrame:
@@ -69,8 +87,8 @@ def population_raw(spark: SparkSession, sf: str) -> DataFrame:
         .join(nations(spark, sf, "c_nationkey"), "c_nationkey")
         .select(
             F.col("o_custkey").alias("kelurahan"),
-            dirty_name(F.col("n_name"), F.col("o_custkey")).alias("kecamatan"),
-            (F.col("o_custkey") % 16).cast("int").alias("age"),
+            dirty_name("n_name", "o_custkey").alias("kecamatan"),
+            F.expr("CAST(o_custkey % 16 AS INT) AS age"),
             "people",
         )
     )
@@ -95,20 +113,19 @@ def registry_raw(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(F.col("l_suppkey").alias("kode_sekolah"), F.year("l_shipdate").alias("tahun"))
         .agg(F.lit(1).alias("_one")).drop("_one")
     )
-    seats = F.greatest(F.lit(0), F.floor(F.col("s_acctbal") / 50)).cast("long")
-    supplier = table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("kode_sekolah"), "s_nationkey", seats.alias("kapasitas_pagu_siswa")
+    supplier = table(spark, sf, "supplier").selectExpr(
+        "s_suppkey AS kode_sekolah", "s_nationkey", "greatest(0L, floor(s_acctbal / 50)) AS kapasitas_pagu_siswa"
     )
     return (
         shipped.join(supplier, "kode_sekolah")
         .join(nations(spark, sf, "s_nationkey"), "s_nationkey")
         .select(
             "kode_sekolah",
-            dirty_name(F.col("n_name"), F.col("kode_sekolah")).alias("kecamatan"),
+            dirty_name("n_name", "kode_sekolah").alias("kecamatan"),
             "tahun",
             "kapasitas_pagu_siswa",
-            F.floor(F.col("kapasitas_pagu_siswa") / 32).alias("jumlah_ruang_kelas"),
-            F.floor(F.col("kapasitas_pagu_siswa") / 28).alias("jumlah_rombel"),
+            F.expr("kapasitas_pagu_siswa div 32 AS jumlah_ruang_kelas"),
+            F.expr("kapasitas_pagu_siswa div 28 AS jumlah_rombel"),
         )
     )
 
@@ -122,25 +139,24 @@ def pupil_fact_raw(spark: SparkSession, sf: str) -> DataFrame:
 
     Orders collapse per customer and month before they meet the customers.
     """
-    level = F.col("o_orderkey") % 4
     monthly = (
         table(spark, sf, "orders")
         .where(F.col("o_orderdate") < F.lit(COMPLETE_BEFORE).cast("timestamp_ntz"))
         .groupBy("o_custkey", F.year("o_orderdate").alias("tahun"), F.month("o_orderdate").alias("_month"))
-        .agg(*[F.count_if(level == i).alias(c) for i, c in enumerate(cap.LEVELS)])
+        .agg(*[F.expr(f"count_if(o_orderkey % 4 = {i}) AS {c}") for i, c in enumerate(cap.LEVELS)])
     )
     customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     return (
         monthly.join(customer, "o_custkey")
         .groupBy("c_nationkey", "tahun", "_month")
-        .agg(*[(12 * F.sum(c)).cast("long").alias(c) for c in cap.LEVELS])
+        .agg(*[F.expr(f"12 * sum({c}) AS {c}") for c in cap.LEVELS])
         .join(nations(spark, sf, "c_nationkey"), "c_nationkey")
         .select(
-            dirty_name(F.col("n_name"), F.col("c_nationkey") + F.col("_month")).alias("kecamatan"),
-            dirty_period(F.col("_month")).alias("periode"),
+            dirty_name("n_name", "c_nationkey + _month").alias("kecamatan"),
+            dirty_period("_month").alias("periode"),
             "tahun",
             *cap.LEVELS,
-            F.when(F.col("_month") % 5 == 0, "-").otherwise(F.col("mts_murid").cast("string")).alias("mts_rasio"),
+            F.expr("CASE WHEN _month % 5 = 0 THEN '-' ELSE CAST(mts_murid AS STRING) END AS mts_rasio"),
         )
     )
 
@@ -192,18 +208,11 @@ def ape_detail(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.absolute_percentage_error(demand(spark, sf), actual, KEY, BASE_YEAR)
 
 
-def district_number(key: Column) -> Column:
-    return F.split_part(key, F.lit("_"), F.lit(2)).cast("int")
-
-
 def located(df: DataFrame) -> DataFrame:
     """Coordinates made from the district number."""
-    n = district_number(F.col(KEY))
-    return df.withColumns(
-        {
-            "latitude": F.lit(-7.2) - (n % 5) * F.lit(0.03) - n * F.lit(0.001),
-            "longitude": F.lit(112.6) + (n * 7 % 25) * F.lit(0.01),
-        }
+    n = f"CAST(split_part({KEY}, '_', 2) AS INT)"
+    return df.selectExpr(
+        "*", f"-7.2D - ({n} % 5) * 0.03D - {n} * 0.001D AS latitude", f"112.6D + ({n} * 7 % 25) * 0.01D AS longitude"
     )
 
 

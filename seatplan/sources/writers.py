@@ -11,19 +11,17 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def overwrite_table(df: DataFrame, root: str, table: str, *, partition_by: Sequence[str] = (), small: bool = False) -> str:
-    """Replace a table, schema included. ``small`` writes a mart as one file."""
+def overwrite_table(df: DataFrame, root: str, table: str, *, partition_by: Sequence[str] = ()) -> str:
+    """Replace a table, schema included. Small marts come out as one file through AQE's coalescing."""
     path = f"{root.rstrip('/')}/{table}"
-    out = df.coalesce(1) if small else df
-    writer = out.write.mode("overwrite")
+    writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return path
 
 
-def export_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, *, small: bool = False) -> str:
+def export_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> str:
     """Distributed CSV export of chosen columns."""
-    out = df.select(*columns) if columns else df
-    (out.coalesce(1) if small else out).write.mode("overwrite").csv(path, header=True)
+    (df.select(*columns) if columns else df).write.mode("overwrite").csv(path, header=True)
     return path
 
 
