@@ -9,9 +9,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(app: str = "seatplan", cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str = "seatplan", cores: str | int = "*", shuffle_partitions: int = 8, shared: str | None = None
+) -> SparkSession:
     """A session for tests and benches; on a cluster the caller brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -21,8 +23,10 @@ def local_session(app: str = "seatplan", cores: str | int = "*", shuffle_partiti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SEATPLAN_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
     )
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    return builder.getOrCreate()
 
 
 def shared_root(spark: SparkSession) -> str:
