@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,22 +27,25 @@ class UnknownKey(LookupError):
 
 
 class Catalog:
-    """Named tables with a description; frames stay lazy."""
+    """Named tables with a description; a table is a frame or a function that builds one when asked for."""
 
-    def __init__(self, spark: SparkSession, tables: Mapping[str, tuple[str, DataFrame]]):
+    def __init__(self, spark: SparkSession, tables: Mapping[str, tuple[str, DataFrame | Callable[[], DataFrame]]]):
         self._spark = spark
         self._tables = dict(tables)
 
     def list_tables(self) -> DataFrame:
         rows = [(n, d) for n, (d, _) in self._tables.items()]
-        return self._spark.createDataFrame(rows, "table_name string, description string").withColumn(
+        described = self._spark.createDataFrame(rows, "table_name string, description string")
+        counts = reduce(DataFrame.unionByName, [self.count(n) for n, _ in rows])
+        return described.join(counts.withColumnRenamed("count", "record_count"), "table_name").withColumn(
             "total_tables", F.lit(len(rows))
         )
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             raise UnknownTable(name)
-        return self._tables[name][1].drop(*TECHNICAL_COLUMNS)
+        found = self._tables[name][1]
+        return (found() if callable(found) else found).drop(*TECHNICAL_COLUMNS)
 
     def page(self, name: str, order, *, limit: int = 100, offset: int = 0) -> DataFrame:
         """One page; every row carries the table's full row count."""

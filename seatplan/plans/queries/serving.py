@@ -31,13 +31,25 @@ DESCRIPTIONS = {
 
 def catalog(spark, sf):
     frames = {"demand": demand, "gap": gap, "recommendation": recommendation, "index": gap_index}
-    stamped = {n: f(spark, sf).withColumn("_gold_created_at", F.current_timestamp()) for n, f in frames.items()}
-    return serving.Catalog(spark, {n: (DESCRIPTIONS[n], df) for n, df in stamped.items()})
+
+    def stamped(build):
+        return lambda: build(spark, sf).withColumn("_gold_created_at", F.current_timestamp())
+
+    return serving.Catalog(spark, {n: (DESCRIPTIONS[n], stamped(f)) for n, f in frames.items()})
+
+
+_CTE = {"demand": "proj", "gap": "gap", "recommendation": "rec", "index": "idx"}
 
 
 @query(
     "serve_tables",
-    "\nUNION ALL ".join(f"SELECT '{n}' AS table_name, '{d}' AS description, 4 AS total_tables" for n, d in DESCRIPTIONS.items()),
+    sql(
+        "\nUNION ALL ".join(
+            f"SELECT '{n}' AS table_name, '{d}' AS description, count(*) AS record_count, 4 AS total_tables FROM {_CTE[n]}"
+            for n, d in DESCRIPTIONS.items()
+        ),
+        *_CTE.values(),
+    ),
 )
 def _(spark, sf):
     return catalog(spark, sf).list_tables()

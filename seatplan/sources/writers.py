@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -51,8 +52,9 @@ def each_isolated(jobs: Mapping[str, Callable[[], Outcome]]) -> list[Outcome]:
     for table, job in jobs.items():
         try:
             out.append(job())
-        except PySparkException as e:
-            out.append(Outcome(table, error=(e.getCondition() or str(e))))
+        except (PySparkException, Py4JJavaError) as e:
+            condition = e.getCondition() if isinstance(e, PySparkException) else None
+            out.append(Outcome(table, error=condition or str(e).strip().splitlines()[0]))
     return out
 
 
