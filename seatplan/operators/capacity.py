@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from seatplan.functions.numbers import add_or_zero, or_zero, units_needed
 from seatplan.operators.cleaning import drop_blank_keys
 from seatplan.operators.ranking import rank_mart
-from seatplan.operators.snapshots import latest_year_only
+from seatplan.operators.snapshots import fold_by_key, latest_year_only
 
 PUPILS_PER_ROOM = 32
 LEVELS = ("sd_murid", "smp_murid", "mi_murid", "mts_murid")
@@ -30,10 +30,9 @@ def registry_totals(
     rows = latest_year_only(registry, year).where(F.col(key).isNotNull())
     if not keep_blank_keys:
         rows = drop_blank_keys(rows, key)
-    label = [F.min(name).alias(name)] if name else []
-    sums = [F.expr(f"CAST(coalesce(sum(`{source}`), 0) AS BIGINT) AS `{out}`") for out, source in totals.items()]
-    return rows.groupBy(key).agg(
-        *label, *sums, F.count("*").alias(schools_as), F.max(year).cast("int").alias("registry_year")
+    sums = {out: F.expr(f"CAST(coalesce(sum(`{source}`), 0) AS BIGINT)") for out, source in totals.items()}
+    return fold_by_key(
+        rows, key, name, sums | {schools_as: F.count("*")}, {"registry_year": F.expr(f"CAST(max(`{year}`) AS INT)")}
     )
 
 

@@ -86,7 +86,7 @@ def elbow_sweep(scaled: DataFrame, ks: Sequence[int] = range(2, 9), *, seed: int
             if quality:
                 labelled = model.transform(kept)
                 grouped = labelled.select(vector_to_array("features").alias("x"), F.col("prediction").alias("label"))
-                row += (_evaluate(labelled), davies_bouldin(grouped, "x", "label").first()["davies_bouldin"])
+                row += (_evaluate(labelled), davies_bouldin(grouped, "x", "label", known=k).first()["davies_bouldin"])
             out.append(row)
     finally:
         kept.unpersist()
@@ -124,19 +124,30 @@ def priority_table(clustered: DataFrame, cluster: str, columns: Sequence[str] =
     return ranked.select(cluster, "priority_rank", label.alias("priority_label"))
 
 
-def with_priority(clustered: DataFrame, cluster: str, columns: Sequence[str] = FEATURES, labels: Sequence[str] = PRIORITY_LABELS) -> DataFrame:
-    """Label rows by their cluster's priority; clusters without one come last."""
-    return (
-        clustered.join(priority_table(clustered, cluster, columns, labels), cluster, "left")
-        .withColumns(
-            {
-                "priority_rank": F.coalesce("priority_rank", F.lit(len(labels))),
-                "priority_label": F.coalesce("priority_label", F.lit(labels[-1])),
-            }
-        )
+def with_priority(
+    clustered: DataFrame, cluster: str, columns: Sequence[str] = FEATURES, labels: Sequence[str] = PRIORITY_LABELS, *, known: int | None = None
+) -> DataFrame:
+    """Label rows by their cluster's priority; clusters without one come last.
+
+    The priorities (one per cluster) reach the rows as one map, so rows are
+    labelled where they are: no join, no shuffle on a handful of hot clusters.
+    """
+    _check_clusters(clustered, cluster, known)
+    ranked = priority_table(clustered, cluster, columns, labels)
+    found = F.try_element_at(_as_map(ranked, cluster, "priority_rank", "priority_label"), F.col(cluster))
+    return clustered.withColumn("_p", found).select(
+        *clustered.columns,
+        F.coalesce("_p.priority_rank", F.lit(len(labels))).alias("priority_rank"),
+        F.coalesce("_p.priority_label", F.lit(labels[-1])).alias("priority_label"),
     )
 
 
+def _as_map(df: DataFrame, key: str, *values: str) -> Column:
+    """A frame with one row per cluster as a map column; call only behind ``_check_clusters``."""
+    value = F.struct(*values) if len(values) > 1 else F.col(values[0])
+    return df.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key).alias("k"), value.alias("v"))))).scalar()
+
+
 def cluster_districts(index: DataFrame, key: str, *, k: int = 4, seed: int = 42, max_iter: int = 300) -> DataFrame:
     """Assemble, scale, cluster, and label districts by priority; adds ``cluster_id`` and ``features``.
 
@@ -145,7 +156,7 @@ def cluster_districts(index: DataFrame, key: str, *, k: int = 4, seed: int = 42,
     scaled = scale_vector(assemble(steady_order(index, key)))
     model = fit_kmeans(scaled, k, seed=seed, max_iter=max_iter)
     labelled = model.transform(scaled).withColumnRenamed("prediction", "cluster_id").drop("features_raw")
-    return with_priority(labelled, "cluster_id")
+    return with_priority(labelled, "cluster_id", known=k)
 
 
 def cluster_profile(clustered: DataFrame, by: str = "priority_rank", columns: Sequence[str] = FEATURES) -> DataFrame:
@@ -176,7 +187,10 @@ def _sq_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
-def _check_clusters(df: DataFrame, label: str) -> None:
+def _check_clusters(df: DataFrame, label: str, known: int | None = None) -> None:
+    """``known`` is the number of clusters where the caller set it; otherwise it is looked up."""
+    if known is not None and known <= MAX_CLUSTERS:
+        return
     if df.select(label).distinct().limit(MAX_CLUSTERS + 1).count() > MAX_CLUSTERS:
         raise ValueError(f"more than {MAX_CLUSTERS} clusters: these scores compare every cluster with every other")
 
@@ -187,17 +201,21 @@ def centroids(df: DataFrame, x: str, label: str) -> DataFrame:
     return df.groupBy(label).agg(vector_to_array(mean).alias("centroid"), F.count("*").alias("n"))
 
 
-def davies_bouldin(df: DataFrame, x: str, label: str, centers: DataFrame | None = None, digits: int = 4) -> DataFrame:
+def davies_bouldin(
+    df: DataFrame, x: str, label: str, centers: DataFrame | None = None, digits: int = 4, *, known: int | None = None
+) -> DataFrame:
     """Mean over clusters of the worst (s_i + s_j) / d_ij; coinciding centroids are skipped.
 
-    ``centers`` (label, centroid) may be given; by default the clusters' own means.
+    ``centers`` (label, centroid) may be given; by default the clusters' own
+    means. Rows look their centroid up in a map and are only aggregated, so a
+    cluster with a third of all rows is no hot partition.
     """
-    _check_clusters(df, label)
-    center = centers if centers is not None else centroids(df, x, label)
-    center = center.select(label, "centroid")
-    away = F.sqrt(_sq_distance(F.col(x).cast("array<double>"), F.col("centroid")))
-    inner = df.join(center, label).groupBy(label).agg(F.avg(away).alias("s"))
-    shape = center.join(inner, label, "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
+    _check_clusters(df, label, known)
+    center = (centers if centers is not None else centroids(df, x, label)).select(label, "centroid")
+    own = F.try_element_at(_as_map(center, label, "centroid"), F.col(label))
+    rows = df.select(F.col(label), F.col(x).cast("array<double>").alias("_x"), own.alias("_c"))
+    spread = rows.groupBy(label).agg(F.avg(F.sqrt(_sq_distance(F.col("_x"), F.col("_c")))).alias("s"))
+    shape = center.join(spread, label, "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
     every = shape.agg(F.collect_list(F.struct(label, "centroid", "s")).alias("all")).scalar()
     ratios = F.transform(
         "_all",
@@ -210,14 +228,14 @@ def davies_bouldin(df: DataFrame, x: str, label: str, centers: DataFrame | None
     return shape.withColumn("_all", every).agg(F.round(F.coalesce(F.avg(worst), F.lit(0.0)), digits).alias("davies_bouldin"))
 
 
-def silhouette_rows(df: DataFrame, x: str, label: str, out: str = "silhouette") -> DataFrame:
+def silhouette_rows(df: DataFrame, x: str, label: str, out: str = "silhouette", *, known: int | None = None) -> DataFrame:
     """Squared-Euclidean silhouette of every row in O(rows x clusters).
 
     The mean squared distance from x to a cluster is |x|^2 + mean|y|^2 - 2 x.mean(y),
     so a cluster's size, mean vector and mean squared norm say everything.
     Rows alone in their cluster score 0.
     """
-    _check_clusters(df, label)
+    _check_clusters(df, label, known)
     rows = df.withColumn("_x", F.col(x).cast("array<double>")).withColumn("_sq", _dot(F.col("_x"), F.col("_x")))
     stats = rows.groupBy(label).agg(
         vector_to_array(Summarizer.mean(array_to_vector("_x"))).alias("mean"),
@@ -248,8 +266,8 @@ def _silhouette(n: Column, a: Column, b: Column) -> Column:
     return F.when((n <= 1) | b.isNull() | (larger <= 0), F.lit(0.0)).otherwise((b - a) / larger)
 
 
-def silhouette_score(df: DataFrame, x: str, label: str, out: str = "silhouette") -> DataFrame:
-    return silhouette_rows(df, x, label, "_s").agg(F.avg("_s").alias(out))
+def silhouette_score(df: DataFrame, x: str, label: str, out: str = "silhouette", *, known: int | None = None) -> DataFrame:
+    return silhouette_rows(df, x, label, "_s", known=known).agg(F.avg("_s").alias(out))
 
 
 def silhouette_euclidean_rows(df: DataFrame, x: str, label: str, out: str = "silhouette", max_rows: int = MAX_EXACT_ROWS) -> DataFrame:

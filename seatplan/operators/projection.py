@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatplan.functions.numbers import add_or_zero
+from seatplan.operators.snapshots import fold_by_key
 
 # How the population table spells the ages 0..16, and the two sexes.
 AGE_WORDS = (
@@ -29,25 +30,19 @@ def wide_age(age: int, words: Sequence[str] = AGE_WORDS, suffixes: Sequence[str]
 def age_vector_from_wide(
     df: DataFrame, key: str, name: str | None = None, *, ages: Iterable[int] = AGES, prefix: str = "usia_", measure=wide_age
 ) -> DataFrame:
-    """One row per district, one column per age.
-
-    Grouped by key alone: a second spelling of the display name must not split
-    the district, so the name is an aggregate.
-    """
-    sums = [F.sum(measure(a)).cast("long").alias(f"{prefix}{a}") for a in ages]
-    label = [F.min(name).alias(name)] if name else []
-    return df.groupBy(key).agg(*label, *sums)
+    """One row per district, one column per age."""
+    sums = {f"{prefix}{a}": F.sum(measure(a)).cast("long") for a in ages}
+    return fold_by_key(df, key, name, sums)
 
 
 def age_vector_from_long(
     df: DataFrame, key: str, age: str, people: str, name: str | None = None, *, ages: Iterable[int] = AGES, prefix: str = "usia_"
 ) -> DataFrame:
-    """As above from (key, age, people) rows, in a single aggregation."""
-    sums = [
-        F.expr(f"CAST(coalesce(sum(CASE WHEN `{age}` = {a} THEN `{people}` END), 0) AS BIGINT) AS {prefix}{a}") for a in ages
-    ]
-    label = [F.min(name).alias(name)] if name else []
-    return df.groupBy(key).agg(*label, *sums)
+    """As above from (key, age, people) rows, in a single pass."""
+    sums = {
+        f"{prefix}{a}": F.expr(f"CAST(coalesce(sum(CASE WHEN `{age}` = {a} THEN `{people}` END), 0) AS BIGINT)") for a in ages
+    }
+    return fold_by_key(df, key, name, sums)
 
 
 def unpivot_ages(vector: DataFrame, ids: Sequence[str], *, ages: Iterable[int] = AGES, prefix: str = "usia_") -> DataFrame:

@@ -61,12 +61,24 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int, *, where: Column | Non
     return cut.withColumn(count_as, rows.agg(F.count("*")).scalar())
 
 
-def page(df: DataFrame, order: Sequence[Column], *, limit: int = 100, offset: int = 0) -> DataFrame:
+DEEP_OFFSET = 100_000
+
+
+def page(df: DataFrame, order: Sequence[Column], *, limit: int = 100, offset: int = 0, deep: int = DEEP_OFFSET) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` in ``order``.
+
+    Near the front that is a top-k. A top-k keeps offset + limit rows in one
+    place, so deep pages number the rows over range partitions instead; for
+    those ``order`` has to end in a unique column.
+    """
     if not 1 <= limit <= 10_000:
         raise ValueError("limit must lie in 1..10000")
     if offset < 0:
         raise ValueError("offset must not be negative")
-    return df.orderBy(*order).offset(offset).limit(limit)
+    if offset <= deep:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    numbered = global_rank(df, order, "_at")
+    return numbered.where(F.col("_at").between(offset + 1, offset + limit)).orderBy("_at").drop("_at")
 
 
 def share_of_max(df: DataFrame, value: str, out: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatplan.functions.numbers import ratio
@@ -61,9 +61,9 @@ def frequency(df: DataFrame, column: str, order: Sequence[str] = ()) -> DataFram
 
 
 def frequency_share(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value and their share; the total adds up the few counts, not the rows again."""
-    total = F.sum("n").over(Window.partitionBy())
-    return frequency(df, column).withColumn("share_pct", F.col("n") / total * 100)
+    """Rows per value and their share; the total adds up the counts, whose shuffle is reused."""
+    counted = frequency(df, column)
+    return counted.withColumn("share_pct", F.col("n") / counted.agg(F.sum("n")).scalar() * 100)
 
 
 def category_stats(df: DataFrame, category: str, value: str) -> DataFrame:

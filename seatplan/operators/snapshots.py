@@ -30,6 +30,24 @@ def latest_marts(tables: Mapping[str, DataFrame], key: str, year: str, month: st
     return {name: latest_snapshot(df, key, year, month) for name, df in tables.items()}
 
 
+def fold_by_key(
+    df: DataFrame, key: str, name: str | None, sums: Mapping[str, Column], maxima: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Aggregates per key with one display name, the least spelling.
+
+    Grouping by key and name would split a district with two spellings. A
+    minimum over text keeps an aggregation from hashing and makes it sort all
+    rows, so rows are first hashed by key and name, and only the few results
+    are folded by key.
+    """
+    maxima = maxima or {}
+    first = [c.alias(n) for n, c in {**sums, **maxima}.items()]
+    if name is None:
+        return df.groupBy(key).agg(*first)
+    again = [F.expr(f"sum(`{n}`) AS `{n}`") for n in sums] + [F.expr(f"max(`{n}`) AS `{n}`") for n in maxima]
+    return df.groupBy(key, name).agg(*first).groupBy(key).agg(F.min(name).alias(name), *again)
+
+
 def latest_year_only(df: DataFrame, year: str) -> DataFrame:
     """Rows of the last year, through a scalar subquery instead of a driver round trip."""
     newest = df.agg(F.max(year)).scalar()

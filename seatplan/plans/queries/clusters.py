@@ -61,7 +61,7 @@ def _(spark, sf):
 
 
 def priority_clusters(spark, sf):
-    return cl.with_priority(fixed_clusters(spark, sf), "cluster_id")
+    return cl.with_priority(fixed_clusters(spark, sf), "cluster_id", known=len(CENTROIDS))
 
 
 MART_COLUMNS = (
@@ -102,13 +102,14 @@ def _(spark, sf):
 @query(
     "cluster_members",
     sql(
-        """SELECT priority_rank, min(priority_label) AS priority_label, list(district_key ORDER BY district_key) AS members
+        """SELECT priority_rank, min(priority_label) AS priority_label, string_agg(district_key, ',' ORDER BY district_key) AS members
         FROM pri GROUP BY priority_rank""",
         "idx", **WITH_PRIORITY,
     ),
 )
 def _(spark, sf):
-    return cl.cluster_members(priority_clusters(spark, sf), KEY)
+    listed = cl.cluster_members(priority_clusters(spark, sf), KEY)
+    return listed.withColumn("members", F.array_join("members", ","))
 
 
 # --- quality by label over the embeddings ----------------------------------------------------
@@ -232,6 +233,6 @@ def _(spark, sf):
     rows = priority_clusters(spark, sf).select("priority_rank", F.array(*cl.FEATURES).alias("x"))
     return ev.metric_table(
         ev.mean_error(ape_detail(spark, sf)),
-        cl.silhouette_score(rows, "x", "priority_rank").withColumn("silhouette", F.round("silhouette", 4)),
-        cl.davies_bouldin(rows, "x", "priority_rank"),
+        cl.silhouette_score(rows, "x", "priority_rank", known=len(CENTROIDS)).withColumn("silhouette", F.round("silhouette", 4)),
+        cl.davies_bouldin(rows, "x", "priority_rank", known=len(CENTROIDS)),
     ).select("model", "metric", "value", "status")

@@ -126,13 +126,14 @@ def _(spark, sf):
 @query(
     "serve_cluster_summary",
     sql(
-        """SELECT priority_rank, min(priority_label) AS priority_label, list(district_key ORDER BY district_key) AS members
+        """SELECT priority_rank, min(priority_label) AS priority_label, string_agg(district_key, ',' ORDER BY district_key) AS members
         FROM pri WHERE priority_label = 'KRITIS' GROUP BY priority_rank""",
         "idx", **WITH_PRIORITY,
     ),
 )
 def _(spark, sf):
-    return serving.cluster_summary(priority_clusters(spark, sf), KEY, "kritis")
+    listed = serving.cluster_summary(priority_clusters(spark, sf), KEY, "kritis")
+    return listed.withColumn("members", F.array_join("members", ","))
 
 
 @query(

@@ -259,8 +259,8 @@ class SeatPlan:
         done = self._write_gold(_publish(settled, CLUSTER_COLUMNS), "gold_cluster_priority")
         metrics = evaluation.metric_table(
             evaluation.mean_error(self.read("gold", "mape_detail")),
-            clusters.silhouette_score(settled, "x", "cluster_id").withColumn("silhouette", F.round("silhouette", 4)),
-            clusters.davies_bouldin(settled, "x", "cluster_id"),
+            clusters.silhouette_score(settled, "x", "cluster_id", known=k).withColumn("silhouette", F.round("silhouette", 4)),
+            clusters.davies_bouldin(settled, "x", "cluster_id", known=k),
         )
         self._write_gold(_publish(metrics, METRIC_COLUMNS), "gold_evaluation_metrics", "_generated_at")
         return done

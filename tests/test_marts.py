@@ -151,6 +151,8 @@ def test_pages_and_top(spark):
     for bad in ({"limit": 0}, {"limit": 10_001}, {"offset": -1}):
         with pytest.raises(ValueError):
             ranking.page(df, [F.asc("id")], **bad)
+    deep = ranking.page(df, [F.desc("id")], limit=4, offset=11, deep=10)
+    assert [r["id"] for r in deep.collect()] == [13, 12, 11, 10]
     top = ranking.top_k(df, [F.desc("id")], 2, where=F.col("id") < 10, count_as="n").collect()
     assert [(r["id"], r["n"]) for r in top] == [(9, 10), (8, 10)]
     shares = ranking.share_of_max(spark.createDataFrame([(5,), (10,)], "v int"), "v", "p").collect()
