@@ -44,14 +44,13 @@ def scale_vector(df: DataFrame, source: str = "features_raw", out: str = "featur
 
 def minmax_columns(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
     """Min-max scaling as plain columns; a constant column becomes 0.5, as the ML scaler does."""
-    ends = df.agg(*[f(c).alias(f"{p}_{c}") for c in columns for p, f in (("lo", F.min), ("hi", F.max))])
-    bounds = ends.select(F.struct("*")).scalar()
-
-    def scaled(c: str) -> Column:
-        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
-        return F.when(F.col(c).isNotNull(), F.when(hi > lo, (F.col(c) - lo) / (hi - lo)).otherwise(F.lit(0.5)))
-
-    return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
+    ends = F.struct(*[f(c).alias(f"{p}_{c}") for c in columns for p, f in (("lo", F.min), ("hi", F.max))])
+    scaled = [
+        f"CASE WHEN `{c}` IS NOT NULL THEN CASE WHEN _b.`hi_{c}` > _b.`lo_{c}` "
+        f"THEN (`{c}` - _b.`lo_{c}`) / (_b.`hi_{c}` - _b.`lo_{c}`) ELSE 0.5D END END AS `{c}{suffix}`"
+        for c in columns
+    ]
+    return df.withColumn("_b", df.agg(ends).scalar()).selectExpr(*[f"`{c}`" for c in df.columns], *scaled)
 
 
 ROWS_PER_PARTITION = 100_000

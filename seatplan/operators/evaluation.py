@@ -54,16 +54,16 @@ def error_extremes(detail: DataFrame, key: str) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed. Empty bins are listed with 0."""
     bounds = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
-    slot = F.when(hi > lo, F.least(F.floor((F.col(value) - lo) / ((hi - lo) / bins)), F.lit(bins - 1))).otherwise(F.lit(0))
+    slot = f"CASE WHEN _b.hi > _b.lo THEN least(floor((`{value}` - _b.lo) / ((_b.hi - _b.lo) / {bins})), {bins - 1}) ELSE 0 END"
     counted = (
-        df.where(F.col(value).isNotNull()).groupBy(slot.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+        df.where(F.col(value).isNotNull()).select(value).withColumn("_b", bounds)
+        .groupBy(F.expr(f"CAST({slot} AS INT) AS bin")).agg(F.count("*").alias("n"))
     )
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), lo.alias("lo"), hi.alias("hi"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), bounds.alias("_b"))
     return every.join(counted, "bin", "left").selectExpr(
         "bin",
-        f"lo + bin * (hi - lo) / {bins} AS bin_from",
-        f"lo + (bin + 1) * (hi - lo) / {bins} AS bin_to",
+        f"_b.lo + bin * (_b.hi - _b.lo) / {bins} AS bin_from",
+        f"_b.lo + (bin + 1) * (_b.hi - _b.lo) / {bins} AS bin_to",
         "coalesce(n, 0L) AS n",
     )
 

@@ -83,5 +83,5 @@ def page(df: DataFrame, order: Sequence[Column], *, limit: int = 100, offset: in
 
 def share_of_max(df: DataFrame, value: str, out: str) -> DataFrame:
     """Value in percent of the greatest value."""
-    top = df.agg(F.max(value)).scalar()
-    return df.withColumn(out, F.when(top > 0, F.col(value) / top * 100))
+    with_top = df.withColumn("_top", df.agg(F.max(value)).scalar())
+    return with_top.withColumn(out, F.when(F.col("_top") > 0, F.col(value) / F.col("_top") * 100)).drop("_top")

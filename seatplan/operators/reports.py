@@ -27,7 +27,8 @@ def totals_by(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
 def growth_from_base(totals: DataFrame, year: str, base_year: int, value: str, out: str = "growth_pct") -> DataFrame:
     """Change in percent against the base year's total."""
     base = totals.where(F.col(year) == base_year).agg(F.max(value)).scalar()
-    return totals.withColumn(out, F.when(base != 0, (F.col(value) - base) / base * 100))
+    change = F.when(F.col("_base") != 0, (F.col(value) - F.col("_base")) / F.col("_base") * 100)
+    return totals.withColumn("_base", base).withColumn(out, change).drop("_base")
 
 
 def pivot_years(df: DataFrame, row: Sequence[str], year: str, years: Sequence[int], value: Column, prefix: str) -> DataFrame:
@@ -47,7 +48,7 @@ def kpi_row(gap: DataFrame, capacity: DataFrame, target_year: int) -> DataFrame:
             F.count_if(F.col("utilization_pct") > 100).alias("districts_over"),
             F.count("*").alias("districts"),
         )
-        .withColumn("total_capacity", total_capacity)
+        .withColumn("total_capacity", total_capacity)  # evaluated once: the ratio below reads the column
         .withColumn("global_utilization_pct", ratio(F.col("total_demand"), F.col("total_capacity")) * 100)
     )
 

@@ -16,6 +16,17 @@ from seatplan.sources import readers, writers
 CENTROIDS = ((0.45, 0.9, 0.1, 0.55), (0.2, 0.65, 0.05, 0.3), (0.05, 0.5, 0.3, 0.25), (0.0, 0.3, 0.0, 0.1))
 
 
+def settled(spark, df, name: str):
+    """A mart written as a table and read back, for work that passes over it many times."""
+    root = work_path(spark, name)
+    writers.overwrite_table(df, root, name)
+    return readers.read_table(spark, root, name)
+
+
+def index_mart(spark, sf):
+    return settled(spark, gap_index(spark, sf), "index")
+
+
 @query(
     "minmax_scale",
     sql(
@@ -30,13 +41,13 @@ CENTROIDS = ((0.45, 0.9, 0.1, 0.55), (0.2, 0.65, 0.05, 0.3), (0.05, 0.5, 0.3, 0.
     ),
 )
 def _(spark, sf):
-    scaled = cl.minmax_columns(gap_index(spark, sf), cl.FEATURES)
+    scaled = cl.minmax_columns(index_mart(spark, sf), cl.FEATURES)
     return scaled.select(KEY, *[f"{c}_scaled" for c in cl.FEATURES])
 
 
 def fixed_clusters(spark, sf):
     """Districts at their nearest given centroid, with priority."""
-    index = cl.fill_missing(gap_index(spark, sf))
+    index = cl.fill_missing(index_mart(spark, sf))
     near = cl.nearest_fixed([F.col(c) for c in cl.FEATURES], CENTROIDS)
     return index.withColumn("cluster_id", near)
 
@@ -64,6 +75,10 @@ def priority_clusters(spark, sf):
     return cl.with_priority(fixed_clusters(spark, sf), "cluster_id", known=len(CENTROIDS))
 
 
+def priority_mart(spark, sf):
+    return settled(spark, priority_clusters(spark, sf), "priority")
+
+
 MART_COLUMNS = (
     KEY, NAME, "index_score", "index_category", "index_rank", "demand_base", "demand_target", "capacity",
     "deficit_rate", "utilization_norm", "growth_rate", "index_raw", "utilization_target", "deficit_target",
@@ -163,20 +178,13 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = priority_clusters(spark, sf).select(KEY, "priority_rank", F.array(*cl.FEATURES).alias("x"))
+    rows = priority_mart(spark, sf).select(KEY, "priority_rank", F.array(*cl.FEATURES).alias("x"))
     return rounded(cl.silhouette_euclidean_rows(rows, "x", "priority_rank").select(KEY, "silhouette"), "silhouette")
 
 
 # --- fitted models: iterative, so rows only ---------------------------------------------------
 
 
-def index_mart(spark, sf):
-    """The index written as a table: a fit passes over its input many times."""
-    root = work_path(spark, "index")
-    writers.overwrite_table(gap_index(spark, sf), root, "index")
-    return readers.read_table(spark, root, "index")
-
-
 @query("kmeans_priority")
 def _(spark, sf):
     return cl.cluster_districts(index_mart(spark, sf), KEY).drop("features", "cluster_id")
@@ -230,7 +238,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = priority_clusters(spark, sf).select("priority_rank", F.array(*cl.FEATURES).alias("x"))
+    rows = priority_mart(spark, sf).select("priority_rank", F.array(*cl.FEATURES).alias("x"))
     return ev.metric_table(
         ev.mean_error(ape_detail(spark, sf)),
         cl.silhouette_score(rows, "x", "priority_rank", known=len(CENTROIDS)).withColumn("silhouette", F.round("silhouette", 4)),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seatplan.operators import spatial
 from seatplan.operators import scenario as sc
 from seatplan.plans.catalog import query
-from seatplan.plans.queries.clusters import WITH_PRIORITY, priority_clusters
+from seatplan.plans.queries.clusters import WITH_PRIORITY, priority_clusters, settled
 from seatplan.plans.queries.evaluation import rounded
 from seatplan.plans.standins import KEY, LOCATED_SQL, gap_index, located, regions, sql, sql_round, table
 from seatplan.session import work_path
@@ -162,7 +162,7 @@ _LOCATED = f"SELECT *, {LOCATED_SQL} FROM built WHERE scenario = 1"
     ),
 )
 def _(spark, sf):
-    at = located(built(spark, sf).where("scenario = 1"))
+    at = settled(spark, located(built(spark, sf).where("scenario = 1")), "scenario")
     return spatial.nearest_safe(at, KEY)
 
 
