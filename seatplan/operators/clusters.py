@@ -25,7 +25,7 @@ PRIORITY_LABELS = ("KRITIS", "TINGGI", "SEDANG", "RENDAH")
 # Every statistic below keeps one entry per cluster in one row; comparing
 # clusters is quadratic in their number by definition.
 MAX_CLUSTERS = 10_000
-# Euclidean silhouettes have no closed form and need all members of a mart.
+# Answers that hold all members of a mart at once: member lists, Euclidean silhouettes.
 MAX_EXACT_ROWS = 20_000
 
 
@@ -168,8 +168,13 @@ def cluster_counts(clustered: DataFrame, score: str) -> DataFrame:
     )
 
 
-def cluster_members(clustered: DataFrame, name: str) -> DataFrame:
-    """Names per priority. The lists make up the answer: all districts, once each."""
+def cluster_members(clustered: DataFrame, name: str, max_rows: int = MAX_EXACT_ROWS) -> DataFrame:
+    """Names per priority, all districts once each, as lists for a mart of checked size.
+
+    Larger inputs keep one row per member: ``serving.cluster_list``.
+    """
+    if clustered.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"more than {max_rows} members: list them as rows")
     return clustered.groupBy("priority_rank").agg(
         F.min("priority_label").alias("priority_label"), F.sort_array(F.collect_list(name)).alias("members")
     )

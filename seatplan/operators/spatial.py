@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from seatplan.functions.geo import KM_PER_DEGREE, MINUTES_PER_KM, haversine_km, planar_degrees, point_in_ring
 from seatplan.operators.scenario import CRITICAL_TIERS, LOWEST_TIER
 
-# Sites up to this number travel inside each task as one array (about 40 bytes each).
-MAX_ARRAY_SITES = 10_000
+# Sites up to this number travel inside each task as one array (about 40 bytes each) and are
+# scanned per point; the grid looks at a few neighbours instead.
+MAX_ARRAY_SITES = 500
 FINEST_CELL = 0.01
 WIDEST_SPAN = 360.0
 

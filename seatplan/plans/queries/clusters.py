@@ -123,7 +123,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    listed = cl.cluster_members(priority_clusters(spark, sf), KEY)
+    listed = cl.cluster_members(priority_mart(spark, sf), KEY)
     return listed.withColumn("members", F.array_join("members", ","))
 
 
@@ -222,25 +222,25 @@ def _(spark, sf):
     return fitted.transform(rows).groupBy(F.col("prediction").alias("cluster_id")).agg(F.count("*").alias("n"))
 
 
-@query(
-    "evaluation_metrics",
-    sql(
-        f"""SELECT model, metric, value, CASE metric
-                WHEN 'MAPE' THEN CASE WHEN value < 20 THEN 'BAIK' WHEN value < 30 THEN 'CUKUP' ELSE 'PERLU_PERBAIKAN' END
-                WHEN 'Silhouette_Score' THEN CASE WHEN value > 0.5 THEN 'BAIK' WHEN value > 0.25 THEN 'CUKUP' ELSE 'LEMAH' END
-                ELSE CASE WHEN value < 1 THEN 'BAIK' WHEN value < 2 THEN 'CUKUP' ELSE 'LEMAH' END END AS status
-        FROM (SELECT 'cohort_projection' AS model, 'MAPE' AS metric, mape AS value FROM ({MAPE})
-            UNION ALL SELECT 'kmeans_clustering', 'Silhouette_Score', {sql_round('avg(s)', 4)} FROM sil
-            UNION ALL SELECT 'kmeans_clustering', 'Davies_Bouldin_Index', davies_bouldin FROM ({_DB}))""",
-        "ape", "idx", **WITH_PRIORITY,
-        points=f"SELECT district_key AS vec_id, priority_rank AS label, [{', '.join(cl.FEATURES)}] AS x FROM pri",
-        dims=_DIMS, centers=_CENTERS, shape=_SHAPE, sil=_SIL.format(d="list_distance", power=2),
-    ),
+METRICS_SQL = sql(
+    f"""SELECT model, metric, value, unit, CASE metric
+            WHEN 'MAPE' THEN CASE WHEN value < 20 THEN 'BAIK' WHEN value < 30 THEN 'CUKUP' ELSE 'PERLU_PERBAIKAN' END
+            WHEN 'Silhouette_Score' THEN CASE WHEN value > 0.5 THEN 'BAIK' WHEN value > 0.25 THEN 'CUKUP' ELSE 'LEMAH' END
+            ELSE CASE WHEN value < 1 THEN 'BAIK' WHEN value < 2 THEN 'CUKUP' ELSE 'LEMAH' END END AS status
+    FROM (SELECT 'cohort_projection' AS model, 'MAPE' AS metric, mape AS value, 'persen' AS unit FROM ({MAPE})
+        UNION ALL SELECT 'kmeans_clustering', 'Silhouette_Score', {sql_round('avg(s)', 4)}, 'rasio' FROM sil
+        UNION ALL SELECT 'kmeans_clustering', 'Davies_Bouldin_Index', davies_bouldin, 'rasio' FROM ({_DB}))""",
+    "ape", "idx", **WITH_PRIORITY,
+    points=f"SELECT district_key AS vec_id, priority_rank AS label, [{', '.join(cl.FEATURES)}] AS x FROM pri",
+    dims=_DIMS, centers=_CENTERS, shape=_SHAPE, sil=_SIL.format(d="list_distance", power=2),
 )
-def _(spark, sf):
+
+
+@query("evaluation_metrics", METRICS_SQL)
+def evaluation_metrics(spark, sf):
     rows = priority_mart(spark, sf).select("priority_rank", F.array(*cl.FEATURES).alias("x"))
     return ev.metric_table(
         ev.mean_error(ape_detail(spark, sf)),
         cl.silhouette_score(rows, "x", "priority_rank", known=len(CENTROIDS)).withColumn("silhouette", F.round("silhouette", 4)),
         cl.davies_bouldin(rows, "x", "priority_rank", known=len(CENTROIDS)),
-    ).select("model", "metric", "value", "status")
+    ).drop("meaning")

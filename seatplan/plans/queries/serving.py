@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seatplan.operators import ranking, serving
 from seatplan.plans.catalog import query
-from seatplan.plans.queries.clusters import WITH_PRIORITY, priority_clusters
+from seatplan.plans.queries.clusters import METRICS_SQL, WITH_PRIORITY, evaluation_metrics, priority_clusters, priority_mart
 from seatplan.plans.standins import (
     KEY,
     TARGET_YEAR,
@@ -132,10 +132,17 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    listed = serving.cluster_summary(priority_clusters(spark, sf), KEY, "kritis")
+    listed = serving.cluster_summary(priority_mart(spark, sf), KEY, "kritis")
     return listed.withColumn("members", F.array_join("members", ","))
 
 
+@query("serve_metrics", METRICS_SQL)
+def _(spark, sf):
+    """The metric table as the read interface returns it: without its time stamp."""
+    stamped = evaluation_metrics(spark, sf).withColumn("_generated_at", F.current_timestamp())
+    return serving.Catalog(spark, {"metrics": ("how well the models do", stamped)}).table("metrics")
+
+
 @query(
     "top_orders",
     """SELECT o_orderkey, o_totalprice, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS count
@@ -151,28 +158,26 @@ def _(spark, sf):
 
 
 def _two_versions(spark, sf) -> str:
-    """The suppliers, then an update: some gone, some new, some changed, one column more."""
+    """The suppliers, then an update: one nation gone, one new, one changed, one column more."""
     path = work_path(spark, "versions")
-    first = table(spark, sf, "supplier").where("s_suppkey % 10 <> 0").select("s_suppkey", "s_name", "s_acctbal")
-    second = table(spark, sf, "supplier").where("s_suppkey % 10 <> 1").select(
-        "s_suppkey", "s_name",
-        F.when(F.col("s_suppkey") % 10 == 2, F.col("s_acctbal") + 1).otherwise(F.col("s_acctbal")).alias("s_acctbal"),
-        F.lit(True).alias("refreshed"),
+    first = table(spark, sf, "supplier").where("s_nationkey <> 0").select("s_suppkey", "s_name", "s_acctbal")
+    second = table(spark, sf, "supplier").where("s_nationkey <> 1").selectExpr(
+        "s_suppkey", "s_name", "CASE WHEN s_nationkey = 2 THEN s_acctbal + 1 ELSE s_acctbal END AS s_acctbal", "true AS refreshed"
     )
     versioned.write_version(first, path)
     versioned.write_version(second, path, "UPDATE")
     return path
 
 
-@query("version_as_of", "SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_suppkey % 10 <> 0")
+@query("version_as_of", "SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_nationkey <> 0")
 def _(spark, sf):
     return versioned.read_version(spark, _two_versions(spark, sf), 0)
 
 
 @query(
     "version_history",
-    """SELECT 1 AS version, 'UPDATE' AS operation, count(*) AS rows FROM supplier WHERE s_suppkey % 10 <> 1
-    UNION ALL SELECT 0, 'WRITE', count(*) FROM supplier WHERE s_suppkey % 10 <> 0""",
+    """SELECT 1 AS version, 'UPDATE' AS operation, count(*) AS rows FROM supplier WHERE s_nationkey <> 1
+    UNION ALL SELECT 0, 'WRITE', count(*) FROM supplier WHERE s_nationkey <> 0""",
 )
 def _(spark, sf):
     return versioned.history(spark, _two_versions(spark, sf)).drop("written_at")
@@ -180,8 +185,8 @@ def _(spark, sf):
 
 @query(
     "version_diff",
-    """SELECT s_suppkey, CASE s_suppkey % 10 WHEN 0 THEN 'added' WHEN 1 THEN 'removed' ELSE 'changed' END AS change
-    FROM supplier WHERE s_suppkey % 10 < 3""",
+    """SELECT s_suppkey, CASE s_nationkey WHEN 0 THEN 'added' WHEN 1 THEN 'removed' ELSE 'changed' END AS change
+    FROM supplier WHERE s_nationkey < 3""",
 )
 def _(spark, sf):
     path = _two_versions(spark, sf)

@@ -160,7 +160,10 @@ class SeatPlan:
             keyed = cleaning.add_keys(raw, name, "periode" if table in PERIODIC else None)
             by = [c for c in order if c in keyed.columns]
             once = cleaning.one_per_grain(keyed, GRAIN[table], by, keep="last")
-            return writers.write_counted(once.withColumn("_processed_at", self._now()), f"{self.root}/silver", table)
+            stamped = once.withColumn("_processed_at", self._now())
+            # readers ask the registry for its latest year only: let them skip the other folders
+            folders = ("tahun",) if table == REGISTRY else ()
+            return writers.write_counted(stamped, f"{self.root}/silver", table, partition_by=folders)
 
         return writers.each_isolated({t: (lambda t=t: clean(t)) for t in GRAIN})
 

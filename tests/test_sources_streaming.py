@@ -151,3 +151,18 @@ def test_republished_rows_arrive_once_across_runs(spark, tmp_path):
         spark.range(upto).withColumn("topic", F.lit("x")).write.mode("append").parquet(str(source))
         got = land_and_count(spark, source, out, check, dedup=True)
         assert sorted(r["id"] for r in got.collect()) == list(range(upto))
+
+
+def test_flush_interval_writes_only_when_something_came(spark, tmp_path):
+    source, out, check = tmp_path / "in", tmp_path / "out", tmp_path / "check"
+    spark.range(4).withColumn("topic", F.lit("x")).write.parquet(str(source))
+    stream = topics.read_growing(spark, str(source), "*.parquet", spark.read.parquet(str(source)).schema)
+    running = topics.land(stream, str(out), str(check), every="1 second")
+    try:
+        running.processAllAvailable()
+        before = sorted(p.name for p in out.rglob("*.parquet"))
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert before and sorted(p.name for p in out.rglob("*.parquet")) == before
+    assert spark.read.parquet(str(out)).count() == 4
