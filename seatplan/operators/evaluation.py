@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +17,10 @@ MAPE_ABOVE = "PERLU_PERBAIKAN"
 SILHOUETTE_STEPS = ((0.5, "BAIK"), (0.25, "CUKUP"))
 DAVIES_BOULDIN_STEPS = ((1.0, "BAIK"), (2.0, "CUKUP"))
 WEAK = "LEMAH"
+# Fixed values: (model, metric, unit, meaning) of each row of the metric table.
+MAPE_ROW = ("cohort_projection", "MAPE", "persen", "< 20% = Baik | < 30% = Cukup | ≥ 30% = Perlu Perbaikan")
+SILHOUETTE_ROW = ("kmeans_clustering", "Silhouette_Score", "rasio", "0.5–1.0 = Baik | 0.25–0.5 = Cukup | < 0.25 = Lemah")
+DAVIES_BOULDIN_ROW = ("kmeans_clustering", "Davies_Bouldin_Index", "rasio", "< 1.0 = Baik | < 2.0 = Cukup | ≥ 2.0 = Lemah")
 
 
 def actual_pupils(latest: DataFrame, key: str, levels: Sequence[str] = ACTUAL_LEVELS) -> DataFrame:
@@ -80,8 +84,9 @@ def davies_bouldin_status(value: Column) -> Column:
     return under_label(value, DAVIES_BOULDIN_STEPS, WEAK)
 
 
-def metric_row(df: DataFrame, model: str, metric: str, value: str, unit: str, status, meaning: str) -> DataFrame:
+def metric_row(df: DataFrame, value: str, row: tuple[str, str, str, str], status: Callable[[Column], Column]) -> DataFrame:
     """One row of the metric table from a one-row aggregate."""
+    model, metric, unit, meaning = row
     v = F.col(value).cast("double")
     return df.select(
         F.lit(model).alias("model"), F.lit(metric).alias("metric"), v.alias("value"), F.lit(unit).alias("unit"),
@@ -89,15 +94,12 @@ def metric_row(df: DataFrame, model: str, metric: str, value: str, unit: str, st
     )
 
 
-def metric_table(mape: DataFrame | None = None, silhouette: DataFrame | None = None, davies_bouldin: DataFrame | None = None) -> DataFrame:
-    rows = []
-    if mape is not None:
-        rows.append(metric_row(mape, "cohort_projection", "MAPE", "mape", "persen", mape_status,
-                               "< 20% = Baik | < 30% = Cukup | ≥ 30% = Perlu Perbaikan"))
-    if silhouette is not None:
-        rows.append(metric_row(silhouette, "kmeans_clustering", "Silhouette_Score", "silhouette", "rasio",
-                               silhouette_status, "0.5–1.0 = Baik | 0.25–0.5 = Cukup | < 0.25 = Lemah"))
-    if davies_bouldin is not None:
-        rows.append(metric_row(davies_bouldin, "kmeans_clustering", "Davies_Bouldin_Index", "davies_bouldin", "rasio",
-                               davies_bouldin_status, "< 1.0 = Baik | < 2.0 = Cukup | ≥ 2.0 = Lemah"))
-    return reduce(DataFrame.unionByName, rows)
+def metric_table(
+    mape: DataFrame | None = None, silhouette: DataFrame | None = None, davies_bouldin: DataFrame | None = None
+) -> DataFrame:
+    given = (
+        (mape, "mape", MAPE_ROW, mape_status),
+        (silhouette, "silhouette", SILHOUETTE_ROW, silhouette_status),
+        (davies_bouldin, "davies_bouldin", DAVIES_BOULDIN_ROW, davies_bouldin_status),
+    )
+    return reduce(DataFrame.unionByName, [metric_row(df, *how) for df, *how in given if df is not None])

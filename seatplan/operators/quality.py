@@ -18,10 +18,20 @@ from seatplan.functions.numbers import or_zero
 from seatplan.functions.text import count_with_share, is_blank, slashed
 
 REPORT_COLUMNS = ("table", "layer", "dimension", "metric", "value", "status", "note")
-# Share of blanks that turns a warning into a failure; months in a year.
+# Share of blanks that turns a warning into a failure; months in a year;
+# metric names and notes as the report prints them.
 BLANK_FAIL_PCT = 5
 MONTHS_IN_YEAR = 12
 NOTE_LENGTH = 80
+ROW_COUNT_METRIC = "row_count_vs_ckan"
+KEY_METRIC = "distinct_kecamatan(raw/norm/key)"
+KEY_NOTE = "key menyatukan variasi spasi & case"
+PERIOD_METRIC = "distinct_periode(raw/norm)"
+PERIOD_NOTE = "norm distandarkan ke <=12 bulan"
+GRAIN_METRIC = "dup_on_grain(kec_key,periode,tahun)"
+MATCH_METRIC = "kecamatan_match(matched/total)"
+MATCH_NOTE = "kecamatan penduduk yg tdk ketemu di sekolah"
+RATIO_NOTE = "tipe beda dgn sd/smp/mi_rasio (numeric)"
 
 
 @dataclass(frozen=True)
@@ -42,7 +52,7 @@ def _pct(part: Column, whole: Column) -> Column:
 
 def row_count(expected: int) -> Check:
     return Check(
-        "reconciliation", "row_count_vs_ckan", {"rows": F.count("*")},
+        "reconciliation", ROW_COUNT_METRIC, {"rows": F.count("*")},
         lambda m: (slashed(m["rows"], F.lit(expected)), _pass_if(m["rows"] == expected, "WARN"), ""),
     )
 
@@ -61,19 +71,19 @@ def completeness(column: str) -> Check:
 def key_consistency(raw: str, norm: str, key: str, expected: int) -> Check:
     measures = {n: F.countDistinct(c) for n, c in (("raw", raw), ("norm", norm), ("key", key))}
     return Check(
-        "consistency", "distinct_kecamatan(raw/norm/key)", measures,
+        "consistency", KEY_METRIC, measures,
         lambda m: (
             slashed(m["raw"], m["norm"], m["key"]),
             _pass_if(m["key"] == expected, "WARN"),
-            F.when(m["key"] < m["norm"], "key menyatukan variasi spasi & case").otherwise(""),
+            F.when(m["key"] < m["norm"], KEY_NOTE).otherwise(""),
         ),
     )
 
 
 def period_consistency(raw: str, norm: str, most: int = MONTHS_IN_YEAR) -> Check:
     return Check(
-        "consistency", "distinct_periode(raw/norm)", {"raw": F.countDistinct(raw), "norm": F.countDistinct(norm)},
-        lambda m: (slashed(m["raw"], m["norm"]), _pass_if(m["norm"] <= most, "FAIL"), "norm distandarkan ke <=12 bulan"),
+        "consistency", PERIOD_METRIC, {"raw": F.countDistinct(raw), "norm": F.countDistinct(norm)},
+        lambda m: (slashed(m["raw"], m["norm"]), _pass_if(m["norm"] <= most, "FAIL"), PERIOD_NOTE),
     )
 
 

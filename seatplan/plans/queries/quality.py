@@ -30,7 +30,7 @@ def reconcile(spark, sf):
 
 
 RECONCILE = "\nUNION ALL ".join(
-    _row_sql(f"'{t}'", "bronze", "reconciliation", "'row_count_vs_ckan'", f"count(*) || '/{n}'",
+    _row_sql(f"'{t}'", "bronze", "reconciliation", f"'{q.ROW_COUNT_METRIC}'", f"count(*) || '/{n}'",
              f"CASE WHEN count(*) = {n} THEN 'PASS' ELSE 'WARN' END", source=f"FROM {t}")
     for t, n in EXPECTED_ROWS.items()
 )
@@ -79,13 +79,13 @@ def consistency(spark, sf):
 
 
 _CONSISTENCY = (
-    _row_sql("'pupils'", "silver", "consistency", "'distinct_kecamatan(raw/norm/key)'", "r || '/' || n || '/' || k",
+    _row_sql("'pupils'", "silver", "consistency", f"'{q.KEY_METRIC}'", "r || '/' || n || '/' || k",
              f"CASE WHEN k = {EXPECTED_DISTRICTS} THEN 'PASS' ELSE 'WARN' END",
-             "CASE WHEN k < n THEN 'key menyatukan variasi spasi & case' ELSE '' END",
+             f"CASE WHEN k < n THEN '{q.KEY_NOTE}' ELSE '' END",
              "FROM (SELECT count(DISTINCT kecamatan) AS r, count(DISTINCT district_name) AS n, count(DISTINCT district_key) AS k FROM fact)")
     + "\nUNION ALL "
-    + _row_sql("'pupils'", "silver", "consistency", "'distinct_periode(raw/norm)'", "r || '/' || n",
-               "CASE WHEN n <= 12 THEN 'PASS' ELSE 'FAIL' END", "'norm distandarkan ke <=12 bulan'",
+    + _row_sql("'pupils'", "silver", "consistency", f"'{q.PERIOD_METRIC}'", "r || '/' || n",
+               "CASE WHEN n <= 12 THEN 'PASS' ELSE 'FAIL' END", f"'{q.PERIOD_NOTE}'",
                "FROM (SELECT count(DISTINCT periode) AS r, count(DISTINCT period_norm) AS n FROM fact)")
 )
 
@@ -99,7 +99,7 @@ def unique(spark, sf):
     return q.assemble_report(
         [
             q.uniqueness(table(spark, sf, "lineitem"), "lineitem", "silver", ["l_orderkey", "l_linenumber"], "dup_on_grain"),
-            q.uniqueness(pupil_fact(spark, sf), "pupils", "silver", [KEY, PERIOD, "tahun"], "dup_on_grain(kec_key,periode,tahun)"),
+            q.uniqueness(pupil_fact(spark, sf), "pupils", "silver", [KEY, PERIOD, "tahun"], q.GRAIN_METRIC),
         ]
     )
 
@@ -113,7 +113,7 @@ def _dup_sql(t, grain, metric, source) -> str:
 _UNIQUE = (
     _dup_sql("lineitem", "l_orderkey, l_linenumber", "dup_on_grain", "lineitem")
     + "\nUNION ALL "
-    + _dup_sql("pupils", "district_key, period_norm, tahun", "dup_on_grain(kec_key,periode,tahun)", "fact")
+    + _dup_sql("pupils", "district_key, period_norm, tahun", q.GRAIN_METRIC, "fact")
 )
 
 
@@ -149,7 +149,7 @@ def _(spark, sf):
 
 def types(spark, sf):
     fact = pupil_fact(spark, sf)
-    note = "tipe beda dgn sd/smp/mi_rasio (numeric)"
+    note = q.RATIO_NOTE
     return q.assemble_report(
         [
             q.column_type(fact, "mts_rasio", "pupils", "silver", "mts_rasio_dtype", note),
@@ -159,7 +159,7 @@ def types(spark, sf):
     )
 
 
-_NOTE = "'tipe beda dgn sd/smp/mi_rasio (numeric)'"
+_NOTE = f"'{q.RATIO_NOTE}'"
 _TYPES = "\nUNION ALL ".join(
     [
         _row_sql("'pupils'", "silver", "validity", "'mts_rasio_dtype'", "'string'", "'WARN'", _NOTE),
@@ -180,8 +180,7 @@ def joinable(spark, sf):
     """Districts with people against districts with schools, once complete and once with a gap."""
     people, schools = population(spark, sf), registry(spark, sf)
     some = schools.where(F.col(KEY) != "NATION_3")
-    note = "kecamatan penduduk yg tdk ketemu di sekolah"
-    metric = "kecamatan_match(matched/total)"
+    note, metric = q.MATCH_NOTE, q.MATCH_METRIC
     return q.assemble_report(
         [
             q.joinability(people, schools, KEY, "people x schools", "silver", metric, note),
@@ -191,9 +190,9 @@ def joinable(spark, sf):
 
 
 def _join_sql(t, cond) -> str:
-    return _row_sql(f"'{t}'", "silver", "joinability", "'kecamatan_match(matched/total)'", "m || '/' || n",
+    return _row_sql(f"'{t}'", "silver", "joinability", f"'{q.MATCH_METRIC}'", "m || '/' || n",
                     "CASE WHEN n = m THEN 'PASS' ELSE 'WARN' END",
-                    "CASE WHEN n > m THEN 'kecamatan penduduk yg tdk ketemu di sekolah' ELSE '' END",
+                    f"CASE WHEN n > m THEN '{q.MATCH_NOTE}' ELSE '' END",
                     f"FROM (SELECT count(*) AS n, count(*) FILTER (district_key IN (SELECT district_key FROM reg WHERE {cond})) AS m "
                     "FROM (SELECT DISTINCT district_key FROM pop))")
 
@@ -209,11 +208,11 @@ def _(spark, sf):
 def missing_table(spark, sf):
     return q.guarded(
         spark, lambda: q.run_checks(spark.read.parquet(f"{sf}/no_such_table.parquet"), "no_such_table", "bronze", [q.row_count(1)]),
-        "no_such_table", "bronze", "reconciliation", "row_count_vs_ckan",
+        "no_such_table", "bronze", "reconciliation", q.ROW_COUNT_METRIC,
     )
 
 
-_MISSING = _row_sql("'no_such_table'", "bronze", "reconciliation", "'row_count_vs_ckan'", "'ERROR'", "'FAIL'", "'PATH_NOT_FOUND'")
+_MISSING = _row_sql("'no_such_table'", "bronze", "reconciliation", f"'{q.ROW_COUNT_METRIC}'", "'ERROR'", "'FAIL'", "'PATH_NOT_FOUND'")
 
 PARTS = (reconcile, complete, consistency, unique, valid, types, joinable, missing_table)
 _ALL_SQL = "\nUNION ALL ".join(f"({p})" for p in (RECONCILE, COMPLETE, _CONSISTENCY, _UNIQUE, VALID, _TYPES, _JOINABLE, _MISSING))

@@ -282,7 +282,7 @@ class SeatPlan:
             return q.run_checks(self.read("silver", t), t, "silver", checks)
 
         def unique(t: str) -> DataFrame:
-            return q.uniqueness(self.read("silver", t), t, "silver", PERIODIC_GRAIN, "dup_on_grain(kec_key,periode,tahun)")
+            return q.uniqueness(self.read("silver", t), t, "silver", PERIODIC_GRAIN, q.GRAIN_METRIC)
 
         def seats() -> DataFrame:
             c = "kapasitas_pagu_siswa"
@@ -291,20 +291,20 @@ class SeatPlan:
 
         def ratio_type() -> DataFrame:
             return q.column_type(
-                self.read("silver", PUPIL_RATIO), "mts_rasio", PUPIL_RATIO, "silver", "mts_rasio_dtype", "tipe beda dgn sd/smp/mi_rasio (numeric)"
+                self.read("silver", PUPIL_RATIO), "mts_rasio", PUPIL_RATIO, "silver", "mts_rasio_dtype", q.RATIO_NOTE
             )
 
         def joinable() -> DataFrame:
             return q.joinability(
                 self.read("silver", POPULATION), self.read("silver", REGISTRY), KEY, "penduduk x akreditasi", "silver",
-                "kecamatan_match(matched/total)", "kecamatan penduduk yg tdk ketemu di sekolah",
+                q.MATCH_METRIC, q.MATCH_NOTE,
             )
 
         def add(build, table: str, layer: str, dimension: str, metric: str) -> None:
             parts.append(q.guarded(spark, build, table, layer, dimension, metric))
 
         for t in EXPECTED_ROWS:
-            add(lambda t=t: bronze(t), t, "bronze", "reconciliation", "row_count_vs_ckan")
+            add(lambda t=t: bronze(t), t, "bronze", "reconciliation", q.ROW_COUNT_METRIC)
         for t in PERIODIC:
             add(lambda t=t: consistent(t), t, "silver", "consistency", "kecamatan")
         for t in PERIODIC:

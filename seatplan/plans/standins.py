@@ -235,7 +235,7 @@ def _dirty(name: str, seed: str) -> str:
 
 
 def sql_norm(c: str) -> str:
-    return rf"upper(trim(regexp_replace(regexp_replace({c}, '(?i)^\s*(kec\.|kel\.)\s*', ''), '\s+', ' ', 'g')))"
+    return rf"upper(trim(regexp_replace(regexp_replace({c}, '(?i)^\s*(?:kec|kel)\.', ''), '\s+', ' ', 'g')))"
 
 
 def sql_key(c: str) -> str:
