@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seatplan.functions.text import is_blank, join_key, normalize_name, normalize_period
+from seatplan.operators.snapshots import comparable
 
 LINEAGE_COLUMNS = ("_ingested_at", "_source", "_hdfs_source", "source_resource_id", "ingested_at")
 
@@ -53,28 +54,18 @@ def one_per_grain(df: DataFrame, grain: Sequence[str], order: Sequence[str] = ()
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     others = [c for c in df.columns if c not in grain and c not in order]
-    comparable = [c for c in others if not _has_map(types[c])]
-    ranked = F.struct(*[F.col(f"`{c}`") for c in [*order, *comparable]])
+    settling = [c for c in others if comparable(types[c])]
+    ranked = F.struct(*[F.col(f"`{c}`") for c in [*order, *settling]])
     payload = F.struct(*[F.col(f"`{c}`") for c in [*order, *others]])
     if not order and not others:
         return df.groupBy(*grain).agg(F.count("*").alias("_n")).select(*df.columns)
-    if len(comparable) == len(others):
+    if len(settling) == len(others):
         pick = F.min(payload) if keep == "first" else F.max(payload)
     else:
         pick = F.min_by(payload, ranked) if keep == "first" else F.max_by(payload, ranked)
     return df.groupBy(*grain).agg(pick.alias("_kept")).select(*grain, "_kept.*").select(*df.columns)
 
 
-def _has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.MapType | T.VariantType):
-        return True
-    if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
-    return False
-
-
 def drop_blank_keys(df: DataFrame, key: str) -> DataFrame:
     return df.where(~is_blank(F.col(key)))
 

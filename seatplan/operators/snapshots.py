@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seatplan.functions.calendar import month_rank
 
@@ -17,8 +18,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], recency: Sequence[Column]
     in one task as a window would do. Equal recency is settled by the payload.
     """
     rest = [c for c in df.columns if c not in keys]
-    newest = F.max(F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(recency)], F.struct(*rest).alias("_row")))
-    return df.groupBy(*keys).agg(newest.alias("_newest")).select(*keys, "_newest._row.*").select(*df.columns)
+    settling = [c for c in rest if comparable(df.schema[c].dataType)]
+    rank = F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(recency)], F.struct(*settling).alias("_row"))
+    if len(settling) == len(rest):
+        newest = F.max(rank)["_row"]
+    else:
+        newest = F.max_by(F.struct(*rest), rank)
+    return df.groupBy(*keys).agg(newest.alias("_newest")).select(*keys, "_newest.*").select(*df.columns)
+
+
+def comparable(kind: T.DataType) -> bool:
+    """Whether values of a type have an order; maps have none."""
+    if isinstance(kind, T.MapType | T.VariantType):
+        return False
+    if isinstance(kind, T.ArrayType):
+        return comparable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(comparable(f.dataType) for f in kind.fields)
+    return True
 
 
 def latest_snapshot(df: DataFrame, key: str, year: str, month: str) -> DataFrame:

@@ -71,6 +71,11 @@ def test_davies_bouldin(frame, labelled):
     same = [(1, [0.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 1.0], 2), (4, [1.0, -1.0], 2), (5, [9.0, 0.0], 3)]
     df = frame(same, "id int, x array<double>, label int")
     assert cl.davies_bouldin(df, "x", "label").first()[0] == brute_db(same)  # clusters 1 and 2 share a centroid
+    given = frame([(1, [5.0, 5.0]), (2, [0.0, 9.0]), (3, [9.0, 0.0])], "label int, centroid array<double>")
+    s = {1: (math.dist((0, 0), (5, 5)) + math.dist((2, 0), (5, 5))) / 2, 2: (math.dist((1, 1), (0, 9)) + math.dist((1, -1), (0, 9))) / 2, 3: 0.0}
+    at = {1: (5, 5), 2: (0, 9), 3: (9, 0)}
+    want = sum(max((s[i] + s[j]) / math.dist(at[i], at[j]) for j in at if j != i) for i in at) / 3
+    assert cl.davies_bouldin(df, "x", "label", given).first()[0] == round(want, 4)
     alone = frame(same[:2], "id int, x array<double>, label int")
     assert cl.davies_bouldin(alone, "x", "label").first()[0] == 0.0
 

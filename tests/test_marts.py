@@ -28,6 +28,12 @@ def test_latest_snapshot_orders_months_by_number(frame):
     assert {r["k"]: r["v"] for r in got.collect()} == {"A": 1, "B": 4, "C": 6, "D": 7}
 
 
+def test_latest_snapshot_carries_maps_and_empty_input(frame):
+    df = frame([("A", 2024, "Mei", {"p": 1}), ("A", 2024, "Juni", {"p": 2})], "k string, y int, m string, v map<string,int>")
+    assert latest_snapshot(df, "k", "y", "m").first()["v"] == {"p": 2}
+    assert latest_snapshot(df.limit(0), "k", "y", "m").count() == 0
+
+
 def test_cohort_one_person_per_age(frame):
     people = frame([("A", "a", age, 1) for age in range(16)], "k string, name string, age int, n int")
     ages = projection.age_vector_from_long(people, "k", "age", "n", "name")
