@@ -79,7 +79,7 @@ def _(spark, sf):
         spark, _landed_events(spark, sf, "landing"), EVENT_SCHEMA, one_document_per_file=False
     )
     root = work_path(spark, "bronze")
-    jobs = {"events": lambda: writers.write_counted(readers.with_lineage(landed, "events"), root, "events")}
+    jobs = {"events": lambda: writers.write_counted(readers.with_lineage(landed, "events"), root, "events", source=landed)}
     (done,) = writers.each_isolated(jobs)
     if done.error:
         raise RuntimeError(done.error)

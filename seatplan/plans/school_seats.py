@@ -147,7 +147,7 @@ class SeatPlan:
         def ingest(resource: readers.Resource) -> Outcome:
             raw = readers.read_json_array(self.spark, f"{landing}/{resource.key}", (schemas or {}).get(resource.table))
             stamped = readers.with_lineage(raw, resource.key.replace("-", "_"), run_at=self._now())
-            return writers.write_counted(stamped, f"{self.root}/bronze", resource.table)
+            return writers.write_counted(stamped, f"{self.root}/bronze", resource.table, source=raw)
 
         return writers.each_isolated({r.table: (lambda r=r: ingest(r)) for r in RESOURCES})
 
@@ -155,15 +155,15 @@ class SeatPlan:
         """Trimmed, keyed, one row per grain: the row that arrived last."""
 
         def clean(table: str) -> Outcome:
-            raw = cleaning.trim_strings(self.read("bronze", table))
+            raw = self.read("bronze", table)
             name = "nama_kecamatan" if table == POPULATION else "kecamatan"
-            keyed = cleaning.add_keys(raw, name, "periode" if table in PERIODIC else None)
+            keyed = cleaning.add_keys(cleaning.trim_strings(raw), name, "periode" if table in PERIODIC else None)
             by = [c for c in order if c in keyed.columns]
             once = cleaning.one_per_grain(keyed, GRAIN[table], by, keep="last")
             stamped = once.withColumn("_processed_at", self._now())
             # readers ask the registry for its latest year only: let them skip the other folders
             folders = ("tahun",) if table == REGISTRY else ()
-            return writers.write_counted(stamped, f"{self.root}/silver", table, partition_by=folders)
+            return writers.write_counted(stamped, f"{self.root}/silver", table, source=raw, partition_by=folders)
 
         return writers.each_isolated({t: (lambda t=t: clean(t)) for t in GRAIN})
 

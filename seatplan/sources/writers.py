@@ -37,9 +37,14 @@ class Outcome:
         return self.rows == 0
 
 
-def write_counted(df: DataFrame, root: str, table: str, **options) -> Outcome:
-    """Write and learn the row count from the same job; an empty input writes nothing."""
-    if df.isEmpty():
+def write_counted(df: DataFrame, root: str, table: str, *, source: DataFrame | None = None, **options) -> Outcome:
+    """Write and learn the row count from the same job.
+
+    With a ``source`` that turns out empty nothing is written and the old table
+    stays. Give the scan the rows come from: asking a derived frame whether it
+    is empty would compute it once more.
+    """
+    if source is not None and source.isEmpty():
         return Outcome(table, 0)
     seen = Observation()
     overwrite_table(df.observe(seen, F.count("*").alias("rows")), root, table, **options)

@@ -54,12 +54,13 @@ def test_one_failing_table_does_not_stop_the_rest(spark, tmp_path):
     root = str(tmp_path)
     jobs = {
         "good": lambda: writers.write_counted(spark.range(3), root, "good"),
-        "empty": lambda: writers.write_counted(spark.range(0), root, "empty"),
+        "empty": lambda: writers.write_counted(spark.range(0), root, "empty", source=spark.range(0)),
+        "none": lambda: writers.write_counted(spark.range(9).where("id < 0"), root, "none"),
         "bad": lambda: writers.write_counted(spark.read.parquet(f"{root}/absent"), root, "bad"),
         "late": lambda: writers.write_counted(spark.range(2), root, "late"),
     }
     got = {o.table: o for o in writers.each_isolated(jobs)}
-    assert (got["good"].rows, got["late"].rows, got["empty"].skipped) == (3, 2, True)
+    assert (got["good"].rows, got["late"].rows, got["empty"].skipped, got["none"].rows) == (3, 2, True, 0)
     assert got["bad"].error == "PATH_NOT_FOUND"
     assert not (tmp_path / "empty").exists()
 
