@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatplan.functions.numbers import clip, step_label, units_needed, whole_number
+from seatplan.functions.numbers import clip, units_needed, whole_number
 from seatplan.functions.text import contains_text
 
 # Index weights, pupils per teacher that count as full, index limits.

@@ -6,12 +6,10 @@ from pyspark.sql import functions as F
 
 from seatplan.operators import capacity as cap
 from seatplan.operators import index, projection, ranking, reports
-from seatplan.operators.snapshots import latest_marts, latest_snapshot
+from seatplan.operators.snapshots import latest_marts, latest_per_key
 from seatplan.plans.catalog import query
 from seatplan.plans.standins import (
-    BASE_YEAR,
     COMPLETE_BEFORE,
-    HORIZON,
     KEY,
     NAME,
     PERIOD,
@@ -29,7 +27,6 @@ from seatplan.plans.standins import (
     recommendation,
     registry_totals,
     sql,
-    sql_round,
     table,
 )
 
@@ -104,8 +101,6 @@ def wide_population(spark, sf):
 )
 def _(spark, sf):
     """One snapshot per sub-district, so that a person is not counted once per month."""
-    from seatplan.operators.snapshots import latest_per_key
-
     newest = latest_per_key(
         keyed(wide_population(spark, sf)), [KEY, "nama_kelurahan"], [F.col("data_tahun"), F.col("data_bulan")]
     )

@@ -11,7 +11,6 @@ from seatplan.plans.standins import (
     BASE_YEAR,
     HORIZON,
     KEY,
-    NAME,
     TARGET_YEAR,
     capacity,
     demand,

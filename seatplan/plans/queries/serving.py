@@ -9,7 +9,6 @@ from seatplan.plans.catalog import query
 from seatplan.plans.queries.clusters import METRICS_SQL, WITH_PRIORITY, evaluation_metrics, priority_clusters, priority_mart
 from seatplan.plans.standins import (
     KEY,
-    TARGET_YEAR,
     demand,
     gap,
     gap_by_seats,

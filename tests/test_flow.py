@@ -7,7 +7,7 @@ import pytest
 from conftest import as_dicts
 
 from seatplan.operators.projection import AGE_WORDS
-from seatplan.plans.school_seats import PERIODIC, POPULATION, PUPIL_RATIO, REGISTRY, RESOURCES, SeatPlan
+from seatplan.plans.school_seats import POPULATION, PUPIL_RATIO, REGISTRY, RESOURCES, SeatPlan
 
 DISTRICTS = ["Asem Rowo", "Benowo", "Bubutan", "Bulak", "Dukuh Pakis", "Gayungan"]
 SPELLINGS = [lambda d: f"Kec. {d}", lambda d: f"  {d.upper()} ", lambda d: d.replace(" ", "  ")]
