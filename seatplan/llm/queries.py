@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatplan.llm import bpe, common, compression, decontaminate, jaccard, perplexity, revisits, token_counts, toxicity, url_rules
+from seatplan.llm import bpe, common, compression, context_mixing, decontaminate, jaccard, perplexity, revisits, token_counts, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,14 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules, table(spark, sf_dir, "labels"))
 
 
+def op2_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), common.fold("doc_id", 10) == 0
+    trained = context_mixing.fit(docs.filter(~held))
+    return context_mixing.score(docs, trained).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(trained.n).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte"
+    )
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -111,6 +119,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_rules": op1_url_rules,
+    "op2_context_mixing": op2_context_mixing,
     "op3_jaccard": op3_jaccard,
     "op4_perplexity": op4_perplexity,
     "op5_bpe": op5_bpe,
@@ -124,25 +133,25 @@ QUERIES: dict[str, Query] = {
 #: How the SQL side sees the crawl log and its revisits.
 OP9_SQL = r"""
 WITH stripped AS (
-  SELECT page_id, md5(coalesce(html, '')) AS digest, 1700000000 + page_id * 60 AS at, (page_id * 7919) % 50000 AS gap,
+  SELECT page_id, md5(coalesce(html, '')) AS digest, 1700000000 + page_id * 60 AS asked_at, (page_id * 7919) % 50000 AS gap,
          regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
   FROM pages),
 listed AS (
   SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda q: q <> '' AND NOT starts_with(q, 'utm_'))) AS qs
   FROM stripped),
 base AS (
-  SELECT page_id, digest, at, gap, at + 1 + gap * 60 AS later,
+  SELECT page_id, digest, asked_at, gap, asked_at + 1 + gap * 60 AS later,
          regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), ':(80|443)$', ''), '^www\.', '')
          || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '')
          || CASE WHEN len(qs) > 0 THEN '?' || array_to_string(qs, '&') ELSE '' END AS u
   FROM listed),
-answers AS (SELECT u, at * 10000000000 + page_id * 2 AS place, page_id, at, gap, CASE WHEN page_id % 7 <> 0 THEN '"' || digest || '"' END AS tag FROM base),
+answers AS (SELECT u, asked_at::HUGEINT * 10000000000 + page_id * 2 AS place, page_id, asked_at, gap, CASE WHEN page_id % 7 <> 0 THEN '"' || digest || '"' END AS tag FROM base),
 asked AS (
-  SELECT *, later * 10000000000 + page_id * 2 + 1 AS place,
+  SELECT *, later::HUGEINT * 10000000000 + page_id * 2 + 1 AS place,
          CASE WHEN page_id % 7 <> 0 THEN CASE WHEN page_id % 11 = 0 THEN '"other"' ELSE 'W/"' || digest || '"' END END AS tag
   FROM base),
 met AS (
-  SELECT a.page_id, a.u, a.later, a.at - a.gap AS dated, a.tag AS tag, s.page_id AS source, s.tag AS stored, s.at - s.gap AS stored_dated
+  SELECT a.page_id, a.u, a.later, a.asked_at - a.gap AS dated, a.tag AS tag, s.page_id AS source, s.tag AS stored, s.asked_at - s.gap AS stored_dated
   FROM asked a ASOF LEFT JOIN answers s ON a.u = s.u AND a.place > s.place),
 judged AS (
   SELECT *, CASE WHEN source IS NULL THEN 'orphan'
