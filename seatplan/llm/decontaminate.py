@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seatplan.llm import common
+
 UNITS = (
     "percent kg g mg kilograms grams pounds ounces tons km m cm mm miles mile kilometers kilometres meters metres feet foot inches "
     "yards liters litres ml gallons cups seconds minutes minute hours hour days day weeks week months month years year "
@@ -110,11 +112,13 @@ def find(docs: DataFrame, items: DataFrame, settings: Settings | None = None, ke
         found = each.join(wanted, "_hash", "left_semi").withColumn("_size", F.lit(size))
         hits = found if hits is None else hits.unionByName(found)
     # what met by hash is a small part of the texts; only these are read again, with their values
+    hits = common.written(hits, "template-hits")
+    few = hits.select("doc_id").distinct()
     spots = hits.groupBy("doc_id").agg(F.collect_set(F.struct("_pos", "_size", "_hash")).alias("_spots"))
-    again = given.join(spots, "doc_id").select("doc_id", slotted(F.col("_text")).alias("_all"), F.explode("_spots").alias("_spot"))
+    again = given.join(common.written(few, "template-docs"), "doc_id", "left_semi").join(spots, "doc_id").select("doc_id", slotted(F.col("_text")).alias("_all"), F.explode("_spots").alias("_spot"))
     seen = again.select("doc_id", "_spot._pos", "_spot._size", "_spot._hash", F.slice("_all", F.col("_spot._pos") + 1, F.col("_spot._size")).alias("_mine"))
     same = F.transform("_mine", lambda x: x["t"]) == F.transform("_window", lambda x: x["t"])
-    met = seen.join(known, ["_hash", "_size"]).filter(same)
+    met = common.written(seen.join(known, ["_hash", "_size"]).filter(same).select("doc_id", "item_id", "_at", "_window", "_mine"), "template-matches")
     slots = F.filter(
         F.zip_with("_window", "_mine", lambda a, b: F.named_struct(F.lit("t"), a["t"], F.lit("asked"), a["w"], F.lit("got"), b["w"])),
         lambda x: x["t"].startswith("<"),
