@@ -5,7 +5,8 @@ template. Windows of ``size`` template words of every text are hash-joined with
 ``literal`` words that are no placeholders. (An item with fewer words is one window of its own length.) Windows that
 meet are compared word by word, and their slots are checked: within one text and item, a benchmark value must always
 stand for the same value of the same type. A text holds an item if ``least`` windows (all, where the item has fewer)
-match in distinct places of the item and at least ``agree`` of its slot values are consistent.
+match in distinct places of the item and at least ``agree`` of its slot values are consistent, each of them in at least
+``agree`` of its places.
 
 A number is digits with marks, or a number word; a name is a capitalised word inside a sentence; a unit is one of
 ``UNITS`` after a number. Words are compared lower-cased without ASCII punctuation.
@@ -115,8 +116,16 @@ def find(docs: DataFrame, items: DataFrame, settings: Settings | None = None, ke
     hits = common.written(hits, "template-hits")
     few = hits.select("doc_id").distinct()
     spots = hits.groupBy("doc_id").agg(F.collect_set(F.struct("_pos", "_size", "_hash")).alias("_spots"))
-    again = given.join(common.written(few, "template-docs"), "doc_id", "left_semi").join(spots, "doc_id").select("doc_id", slotted(F.col("_text")).alias("_all"), F.explode("_spots").alias("_spot"))
-    seen = again.select("doc_id", "_spot._pos", "_spot._size", "_spot._hash", F.slice("_all", F.col("_spot._pos") + 1, F.col("_spot._size")).alias("_mine"))
+    again = given.join(common.written(few, "template-docs"), "doc_id", "left_semi").join(spots, "doc_id")
+
+    def cut(words: Column) -> Column:
+        names = ("_pos", "_size", "_hash")
+        return F.transform(
+            "_spots",
+            lambda p: F.named_struct(*[x for n in names for x in (F.lit(n), p[n])], F.lit("_mine"), F.slice(words, p["_pos"] + 1, p["_size"])),
+        )
+
+    seen = again.select("doc_id", F.inline(_once(slotted(F.col("_text")), cut)))
     same = F.transform("_mine", lambda x: x["t"]) == F.transform("_window", lambda x: x["t"])
     met = common.written(seen.join(known, ["_hash", "_size"]).filter(same).select("doc_id", "item_id", "_at", "_window", "_mine"), "template-matches")
     slots = F.filter(
@@ -131,12 +140,12 @@ def find(docs: DataFrame, items: DataFrame, settings: Settings | None = None, ke
         .groupBy("doc_id", "item_id", "t", "asked")
         .agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.max((F.col("got") != F.col("asked")).cast("int")).alias("changed"))
         .groupBy("doc_id", "item_id")
-        .agg(F.sum("most").alias("_most"), F.sum("n").alias("_n"), F.count("*").alias("n_slots"), F.sum("changed").alias("n_changed"))
+        .agg(F.sum((F.col("most") >= s.agree * F.col("n")).cast("int")).alias("_good"), F.count("*").alias("n_slots"), F.sum("changed").alias("n_changed"))
     )
     size_of = known.groupBy("item_id").agg(F.countDistinct("_at").alias("n_item_windows"))
     counted = met.groupBy("doc_id", "item_id").agg(F.countDistinct("_at").alias("n_windows")).join(size_of, "item_id")
     held = counted.filter(F.col("n_windows") >= F.least(F.lit(s.least).cast("long"), F.col("n_item_windows"))).join(filled, ["doc_id", "item_id"], "left")
-    return held.filter(F.col("_n").isNull() | (F.col("_most") >= s.agree * F.col("_n"))).select(
+    return held.filter(F.col("n_slots").isNull() | (F.col("_good") >= s.agree * F.col("n_slots"))).select(
         "doc_id",
         "item_id",
         "n_windows",
