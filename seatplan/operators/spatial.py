@@ -31,13 +31,19 @@ def nearest_site(
 
     The number of sites is checked first. Few sites are scanned per point inside
     an expression, so nothing is shuffled; many sites go through a grid.
-    Points get no row when there is no site.
+    Points get no row when there is no site. Points and sites without a
+    coordinate take no part.
     """
+    points, sites = _placed(points, lat, lon), _placed(sites, lat, lon)
     if sites.limit(max_array_sites + 1).count() <= max_array_sites:
         return _nearest_in_array(points, sites, point_id, site_id, lat, lon)
     return nearest_by_grid(points, sites, point_id, site_id, lat=lat, lon=lon)
 
 
+def _placed(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    return df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(F.col(lat)) & ~F.isnan(F.col(lon)))
+
+
 def _nearest_in_array(points, sites, point_id, site_id, lat, lon) -> DataFrame:
     packed = sites.agg(
         F.collect_list(F.struct(F.col(site_id).alias("s"), F.col(lat).alias("y"), F.col(lon).alias("x"))).alias("all")
@@ -75,6 +81,7 @@ def nearest_by_grid(
     finest cell, so it is found once per occupied cell, not once per point.
     Copies of a coordinate collapse to their smallest id beforehand.
     """
+    points, sites = _placed(points, lat, lon), _placed(sites, lat, lon)
     top = math.ceil(math.log2(span / finest)) + 1
     levels = F.sequence(F.lit(0), F.lit(top))
     def cell(c: str) -> Column:

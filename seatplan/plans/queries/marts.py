@@ -9,7 +9,6 @@ from seatplan.operators import index, projection, ranking, reports
 from seatplan.operators.snapshots import latest_marts, latest_per_key
 from seatplan.plans.catalog import query
 from seatplan.plans.standins import (
-    COMPLETE_BEFORE,
     KEY,
     NAME,
     PERIOD,
@@ -71,7 +70,6 @@ def wide_population(spark, sf):
     }
     monthly = (
         table(spark, sf, "orders")
-        .where(F.col("o_orderdate") < F.lit(COMPLETE_BEFORE).cast("timestamp_ntz"))
         .groupBy("o_custkey", F.year("o_orderdate").alias("data_tahun"), F.month("o_orderdate").alias("data_bulan"))
         .agg(*[F.expr(f"{h} AS {c}") for c, h in hit.items()])
     )
@@ -95,8 +93,7 @@ def wide_population(spark, sf):
         rows="""SELECT n_name AS district_key, n_name AS district_name, o_orderkey % 16 AS age,
             year(o_orderdate) * 12 + month(o_orderdate) AS ym,
             max(year(o_orderdate) * 12 + month(o_orderdate)) OVER (PARTITION BY n_name, c_mktsegment) AS newest
-        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey
-        WHERE o_orderdate < TIMESTAMP '2001-08-01'""",
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey""",
     ),
 )
 def _(spark, sf):

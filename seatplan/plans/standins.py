@@ -22,7 +22,6 @@ from seatplan.operators.snapshots import latest_snapshot
 
 BASE_YEAR, HORIZON = 2025, 5
 TARGET_YEAR = BASE_YEAR + HORIZON
-COMPLETE_BEFORE = "2001-08-01"  # the last month holds a single day
 KEY, NAME, PERIOD = "district_key", "district_name", "period_norm"
 
 
@@ -141,7 +140,6 @@ def pupil_fact_raw(spark: SparkSession, sf: str) -> DataFrame:
     """
     monthly = (
         table(spark, sf, "orders")
-        .where(F.col("o_orderdate") < F.lit(COMPLETE_BEFORE).cast("timestamp_ntz"))
         .groupBy("o_custkey", F.year("o_orderdate").alias("tahun"), F.month("o_orderdate").alias("_month"))
         .agg(*[F.expr(f"count_if(o_orderkey % 4 = {i}) AS {c}") for i, c in enumerate(cap.LEVELS)])
     )
@@ -304,7 +302,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT n_name, n_nationkey, CAST(year(o_orderdate) AS INTEGER) AS tahun,
                 CAST(month(o_orderdate) AS INTEGER) AS m, {_LEVEL_COUNTS}
             FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey
-            WHERE o_orderdate < TIMESTAMP '{COMPLETE_BEFORE}' GROUP BY ALL)""",
+            GROUP BY ALL)""",
     ),
     "fact": (
         ("fact_raw",),
