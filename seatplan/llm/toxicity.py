@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,12 +74,16 @@ def train(sample: DataFrame, settings: Settings) -> DataFrame:
     s = settings
 
     def learn(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("_order", "ascending"), ("_key", "ascending"), ("_text", "ascending")])
+        # features first, batch by batch, so that the texts are never copied whole; then in the order of the hashes
         examples = []
-        for block in blocks(rows["_text"]):
-            at, counts = features(block, s.bits)
-            examples += [np.append(np.unique(x), 1 << s.bits).astype(np.int32) for x in np.split(at, np.cumsum(counts)[:-1])]
-        model, labels = Ftrl(s), rows["_label"].to_numpy()
+        for batch in rows.to_batches():
+            for block in blocks(batch.column("_text")):
+                at, counts = features(block, s.bits)
+                examples += [np.append(np.unique(x), 1 << s.bits).astype(np.int32) for x in np.split(at, np.cumsum(counts)[:-1])]
+        keys = rows.select(["_order", "_key", "_label"]).append_column("_size", pa.array([len(x) for x in examples], pa.int64()))
+        order = pc.sort_indices(keys, sort_keys=[(c, "ascending") for c in ("_order", "_key", "_size")]).to_pylist()
+        examples = [examples[i] for i in order]
+        model, labels = Ftrl(s), keys["_label"].to_numpy()[order]
         for _ in range(s.epochs):
             for at, label in zip(examples, labels, strict=True):
                 model.learn(at, label)
