@@ -31,7 +31,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def labelled(docs: DataFrame, labels: DataFrame, label: str, keep: Column, most: int, key: str = "doc_id") -> DataFrame:
     """At most ``most`` labelled texts ``(_key, _order, _text, _label)``, those with the least hash of their key.
 
-    The bound is taken on the narrow label table before any text moves. Rows with a null key or label, and keys whose
+    The bound is taken on the narrow label table; what it leaves (``most`` rows of three numbers) is broadcast, so no text
+    moves to be chosen. Rows with a null key or label, and keys whose
     labels disagree, teach nothing.
     """
     chosen = (
@@ -44,4 +45,4 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, keep: Column, most:
         .limit(most)
     )
     texts = docs.select(F.col(key).alias("_key"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
-    return texts.join(chosen, "_key")
+    return texts.join(F.broadcast(chosen), "_key")

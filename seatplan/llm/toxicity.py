@@ -70,28 +70,41 @@ class Ftrl:
 
 
 def train(sample: DataFrame, settings: Settings) -> DataFrame:
-    """Weights ``(at, w)``; the bias stands at ``2**bits``. ``sample`` is ``common.labelled``'s."""
-    s = settings
+    """Weights ``(at, w)``; the bias stands at ``2**bits``. ``sample`` is ``common.labelled``'s.
 
-    def learn(rows: pa.Table) -> pa.Table:
-        # features first, batch by batch, so that the texts are never copied whole; then in the order of the hashes
-        examples = []
-        for batch in rows.to_batches():
-            for block in blocks(batch.column("_text")):
-                at, counts = features(block, s.bits)
-                examples += [np.append(np.unique(x), 1 << s.bits).astype(np.int32) for x in np.split(at, np.cumsum(counts)[:-1])]
-        keys = rows.select(["_order", "_key", "_label"]).append_column("_size", pa.array([len(x) for x in examples], pa.int64()))
-        order = pc.sort_indices(keys, sort_keys=[(c, "ascending") for c in ("_order", "_key", "_size")]).to_pylist()
-        examples = [examples[i] for i in order]
-        model, labels = Ftrl(s), keys["_label"].to_numpy()[order]
+    Features are made where the texts are; the task that learns gets only these, sorted by Spark, and never a text.
+    """
+    s, kind = settings, sample.schema["_key"].dataType.simpleString()
+    names = ["_order", "_key", "_label", "_at"]
+
+    def coordinates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part, examples = batch.slice(begin, 256), []
+                for block in blocks(part.column("_text")):
+                    at, counts = features(block, s.bits)
+                    examples += [np.append(np.unique(x), 1 << s.bits).astype(np.int32) for x in np.split(at, np.cumsum(counts)[:-1])]
+                yield pa.record_batch([*[part.column(c) for c in names[:-1]], pa.array(examples, pa.list_(pa.int32()))], names=names)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples, labels = [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column("_at")
+            sizes = pc.list_value_length(lists).to_numpy()
+            examples += np.split(lists.flatten().to_numpy(), np.cumsum(sizes)[:-1])
+            labels += batch.column("_label").to_pylist()
+        model = Ftrl(s)
         for _ in range(s.epochs):
             for at, label in zip(examples, labels, strict=True):
                 model.learn(at, label)
         w = model.weights()
         at = np.flatnonzero(w)
-        return pa.table({"at": at.astype(np.int64), "w": w[at]})
+        yield pa.record_batch([pa.array(at.astype(np.int64)), pa.array(w[at])], names=["at", "w"])
 
-    return sample.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(learn, "at long, w double")
+    made = common.written(sample.mapInArrow(coordinates, f"_order long, _key {kind}, _label int, _at array<int>"), "toxicity-examples")
+    return made.coalesce(1).sortWithinPartitions(*names).mapInArrow(learn, "at long, w double")
 
 
 def score(docs: DataFrame, weights: DataFrame, settings: Settings, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
