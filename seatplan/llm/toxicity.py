@@ -114,22 +114,19 @@ def score(docs: DataFrame, weights: DataFrame, settings: Settings, keep: tuple[s
     dense[table["at"].to_numpy()] = table["w"].to_numpy()
     model, bits = docs.sparkSession.sparkContext.broadcast(dense), settings.bits
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = model.value
-        for batch in batches:
-            out = [np.zeros(0)]
-            for block in blocks(batch.column("_text")):
-                at, counts = features(block, bits)
-                row = np.repeat(np.arange(block.rows), counts)
-                heavy = w[at] != 0
-                hit = np.unique((row[heavy] << (bits + 1)) + at[heavy])
-                total = np.bincount(hit >> (bits + 1), weights=w[hit & ((1 << (bits + 1)) - 1)], minlength=block.rows)
-                out.append(1 / (1 + np.exp(-np.clip(total + w[1 << bits], -35, 35))))
-            yield pa.record_batch([*[batch.column(c) for c in keep], pa.array(np.concatenate(out))], names=[*keep, "score"])
-
-    given = docs.select(*keep, F.col("text").alias("_text"))
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return given.mapInArrow(run, f"{kinds}, score double")
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        w, out = model.value, [np.zeros(0)]
+        for block in blocks(texts):
+            at, counts = features(block, bits)
+            row = np.repeat(np.arange(block.rows), counts)
+            heavy = w[at] != 0
+            hit = np.unique((row[heavy] << (bits + 1)) + at[heavy])
+            total = np.bincount(hit >> (bits + 1), weights=w[hit & ((1 << (bits + 1)) - 1)], minlength=block.rows)
+            out.append(1 / (1 + np.exp(-np.clip(total + w[1 << bits], -35, 35))))
+        return pa.array(np.concatenate(out))
+
+    return docs.select(*keep, scored("text").alias("score"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, teaches: Column, settings: Settings | None = None) -> tuple[DataFrame, Settings]:
