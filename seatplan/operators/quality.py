@@ -88,9 +88,16 @@ def period_consistency(raw: str, norm: str, most: int = MONTHS_IN_YEAR) -> Check
 
 
 def not_negative(column: str, metric: str) -> Check:
+    """Values below zero. A text that is no number is bad too and is counted in the note; it does not end the run."""
+    number = F.col(column).try_cast("double")
+    unread = F.col(column).isNotNull() & number.isNull()
     return Check(
-        "validity", metric, {"bad": F.count_if(F.col(column) < 0)},
-        lambda m: (m["bad"].cast("string"), _pass_if(m["bad"] == 0, "FAIL"), ""),
+        "validity", metric, {"bad": F.count_if((number < 0) | unread), "unread": F.count_if(unread)},
+        lambda m: (
+            m["bad"].cast("string"),
+            _pass_if(m["bad"] == 0, "FAIL"),
+            F.when(m["unread"] > 0, F.concat(m["unread"].cast("string"), F.lit(" not numeric"))).otherwise(""),
+        ),
     )
 
 

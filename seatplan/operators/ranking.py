@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seatplan.operators.snapshots import comparable
 from seatplan.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row number below
@@ -65,16 +66,17 @@ DEEP_OFFSET = 100_000
 
 
 def page(df: DataFrame, order: Sequence[Column], *, limit: int = 100, offset: int = 0, deep: int = DEEP_OFFSET) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` in ``order``.
+    """Rows ``offset`` to ``offset + limit`` in ``order``; ties are settled by the rows' other columns.
 
     Near the front that is a top-k. A top-k keeps offset + limit rows in one
-    place, so deep pages number the rows over range partitions instead; for
-    those ``order`` has to end in a unique column.
+    place, so deep pages number the rows over range partitions instead. Both
+    follow the same order, so pages on either side of ``deep`` fit together.
     """
     if not 1 <= limit <= 10_000:
         raise ValueError("limit must lie in 1..10000")
     if offset < 0:
         raise ValueError("offset must not be negative")
+    order = [*order, *[F.col(f"`{f.name}`") for f in df.schema.fields if comparable(f.dataType)]]
     if offset <= deep:
         return df.orderBy(*order).offset(offset).limit(limit)
     numbered = global_rank(df, order, "_at")

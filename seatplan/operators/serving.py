@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from seatplan.operators.clusters import cluster_members
 from seatplan.operators.ranking import page, top_k
 
-# Bookkeeping columns that are not served; largest answer of a ranked list.
+# Bookkeeping columns that are not served; districts of the city, the most its ranked lists are asked for.
 TECHNICAL_COLUMNS = (
     "_gold_created_at", "_processed_at", "_updated_at", "_generated_at", "_refreshed_at", "id",
 )
@@ -56,10 +56,15 @@ class Catalog:
         return self.table(name).agg(F.count("*").alias("count")).withColumn("table_name", F.lit(name))
 
 
-def ranked(df: DataFrame, rank: str, *, top: int, label: str | None = None, wanted: str | None = None) -> DataFrame:
-    """Best ``top`` rows, optionally of one label in any case; ``count`` tells how many there were."""
-    if not 1 <= top <= MOST_RANKED:
-        raise ValueError(f"top must lie in 1..{MOST_RANKED}")
+def ranked(
+    df: DataFrame, rank: str, *, top: int, label: str | None = None, wanted: str | None = None, most: int | None = None
+) -> DataFrame:
+    """Best ``top`` rows, optionally of one label in any case; ``count`` tells how many there were.
+
+    ``most`` bounds what may be asked for, where the caller's interface has a bound.
+    """
+    if top < 1 or (most is not None and top > most):
+        raise ValueError("top must be positive" if most is None else f"top must lie in 1..{most}")
     only = None if wanted is None else F.col(label) == F.lit(wanted.upper())
     return top_k(df, [F.col(rank).asc_nulls_last()], top, where=only, count_as="count")
 

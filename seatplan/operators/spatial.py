@@ -14,7 +14,7 @@ from seatplan.operators.scenario import CRITICAL_TIERS, LOWEST_TIER
 # scanned per point; the grid looks at a few neighbours instead.
 MAX_ARRAY_SITES = 500
 FINEST_CELL = 0.01
-WIDEST_SPAN = 360.0
+FEW_SITES = 4
 
 
 def nearest_site(
@@ -61,6 +61,27 @@ def _nearest_in_array(points, sites, point_id, site_id, lat, lon) -> DataFrame:
     )
 
 
+def _widest(df: DataFrame, lat: str, lon: str) -> float:
+    """The greatest distance of a coordinate from zero; all coordinates lie within twice that."""
+    far = df.agg(F.max(F.greatest(F.abs(lat), F.abs(lon))).cast("double")).first()[0] or 0.0
+    if math.isinf(far):
+        raise ValueError("coordinates must be finite")
+    return 2 * far
+
+
+def _fine_enough(sites: DataFrame, lat: str, lon: str) -> float:
+    """The widest of some cell sizes, halved from one to the next, of which none holds more than ``FEW_SITES`` places.
+
+    One job: places are counted by cell size and cell. Places that are closer than the last size share its cells.
+    """
+    sizes = [FINEST_CELL / (1 << i) for i in range(0, 16, 3)]
+    by_size = F.explode(F.array(*[F.lit(s) for s in sizes])).alias("_size")
+    places = sites.select(F.col(lat).alias("_y"), F.col(lon).alias("_x")).distinct().select("_y", "_x", by_size)
+    cells = places.groupBy("_size", F.floor(F.col("_y") / F.col("_size")).alias("_cy"), F.floor(F.col("_x") / F.col("_size")).alias("_cx"))
+    most = {r["_size"]: r["n"] for r in cells.count().groupBy("_size").agg(F.max("count").alias("n")).collect()}
+    return next((s for s in sizes if most.get(s, 0) <= FEW_SITES), sizes[-1])
+
+
 def nearest_by_grid(
     points: DataFrame,
     sites: DataFrame,
@@ -69,12 +90,14 @@ def nearest_by_grid(
     *,
     lat: str = "latitude",
     lon: str = "longitude",
-    finest: float = FINEST_CELL,
-    span: float = WIDEST_SPAN,
+    finest: float | None = None,
+    span: float | None = None,
 ) -> DataFrame:
     """Exact nearest site through nested square grids, for any number of sites.
 
-    Cells double in size per level until one cell covers the span. A point's
+    Cells double in size per level until one cell covers the span. Both ends of
+    the levels follow from the data unless given: the span from all coordinates,
+    the finest cell from the sites, so that few of them share one. A point's
     3x3 block at the first level where it holds a site bounds the distance by
     2*sqrt(2) cells, hence the block two levels up (cells four times as wide)
     holds the nearest site and every tie. The first level depends only on the
@@ -82,8 +105,13 @@ def nearest_by_grid(
     Copies of a coordinate collapse to their smallest id beforehand.
     """
     points, sites = _placed(points, lat, lon), _placed(sites, lat, lon)
-    top = math.ceil(math.log2(span / finest)) + 1
+    if finest is None:
+        finest = _fine_enough(sites, lat, lon)
+    if span is None:
+        span = max(_widest(points, lat, lon), _widest(sites, lat, lon))
+    top = max(math.ceil(math.log2(max(span, finest) / finest)), 0) + 2
     levels = F.sequence(F.lit(0), F.lit(top))
+
     def cell(c: str) -> Column:
         return F.floor(F.col(c) / F.lit(finest)).cast("long")
 

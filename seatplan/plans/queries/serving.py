@@ -81,7 +81,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    best = serving.ranked(recommendation(spark, sf), "priority_rank", top=5, label="recommendation", wanted="usb")
+    best = serving.ranked(recommendation(spark, sf), "priority_rank", top=5, label="recommendation", wanted="usb", most=serving.MOST_RANKED)
     return best.select("priority_rank", KEY, "unserved", "rooms_needed", "recommendation", "count")
 
 
@@ -94,7 +94,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    best = serving.ranked(gap_index(spark, sf), "index_rank", top=31, label="index_category", wanted="sedang")
+    best = serving.ranked(gap_index(spark, sf), "index_rank", top=31, label="index_category", wanted="sedang", most=serving.MOST_RANKED)
     return best.select("index_rank", KEY, "index_score", "index_category", "count")
 
 

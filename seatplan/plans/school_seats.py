@@ -15,6 +15,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seatplan.functions.calendar import month_rank
+from seatplan.functions.text import normalize_period
 from seatplan.operators import capacity as cap
 from seatplan.operators import cleaning, clusters, evaluation, index, projection, quality, reports
 from seatplan.operators.snapshots import latest_per_key, latest_snapshot
@@ -181,7 +183,7 @@ class SeatPlan:
         """People by age; each sub-district counts once, with its newest month."""
         people = self.read("silver", POPULATION)
         if not every_snapshot:
-            recency = [F.col("data_tahun").try_cast("int"), F.col("data_bulan").try_cast("int")]
+            recency = [F.col("data_tahun").try_cast("int"), _month(F.col("data_bulan"))]
             people = latest_per_key(people, [KEY, "nama_kelurahan"], recency)
         return projection.age_vector_from_wide(people, KEY, NAME)
 
@@ -333,6 +335,11 @@ class SeatPlan:
         return done + writers.each_isolated({"gold_data_quality_report": self.quality_report})
 
 
+def _month(value: Column) -> Column:
+    """Months as numbers, whether written as numbers or as names."""
+    return F.coalesce(value.try_cast("int"), month_rank(normalize_period(value.cast("string"))))
+
+
 def _publish(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(inner).alias(outer) for outer, inner in columns.items()])
 

@@ -39,6 +39,12 @@ def test_all_checks_of_a_table_in_one_row_pass(frame):
     assert (got["nul"]["value"], got["nul"]["status"]) == ("1 (50.0%)", "WARN")
 
 
+def test_text_that_is_no_number_is_counted_not_raised(frame):
+    df = frame([("-",), ("-3",), ("4",), (None,)], "seats string")
+    row = q.run_checks(df, "t", "silver", [q.not_negative("seats", "neg")]).first()
+    assert (row["value"], row["status"], row["note"]) == ("2", "FAIL", "1 not numeric")
+
+
 def test_uniqueness(frame):
     df = frame([("a", 1), ("a", 1), ("a", None), ("a", None)], "k string, n int")
     row = q.uniqueness(df, "t", "silver", ["k", "n"], "dup").first()

@@ -76,6 +76,8 @@ def cloud(n, seed, box):
     ([(0, 0.0, 0.0), (1, 5.0, 5.0)], [(9, 0.0, 1.0), (4, 0.0, -1.0), (7, 1.0, 0.0)]),  # equal distances
     (cloud(50, 5, (-1, 1)), [(i, 0.5, 0.5) for i in range(30)]),     # copies of one place
     (cloud(5, 6, (-1, 1)), []),
+    ([(i, 5e6 + y * 1e4, 3e5 + x * 1e4) for i, y, x in cloud(60, 7, (-1, 1))], [(i, 5e6 + y * 1e4, 3e5 + x * 1e4) for i, y, x in cloud(30, 8, (-1, 1))]),  # metres
+    (cloud(150, 9, (0, 0.02)), cloud(150, 10, (0, 0.02))),           # dense
 ])
 def test_nearest_site_both_ways(frame, points, sites):
     p = frame(points, "p int, latitude double, longitude double")

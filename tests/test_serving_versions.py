@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seatplan.operators import serving
+from seatplan.operators.ranking import page
 from seatplan.sources import versioned
 
 
@@ -37,9 +38,17 @@ def test_ranked_filters_before_the_cut(frame):
     got = serving.ranked(df, "rank", top=2, label="label", wanted="usb").collect()
     assert [(r["rank"], r["count"]) for r in got] == [(1, 3), (3, 3)]
     assert serving.ranked(df, "rank", top=31).count() == 4
+    assert serving.ranked(df, "rank", top=32).count() == 4
     for top in (0, 32):
         with pytest.raises(ValueError):
-            serving.ranked(df, "rank", top=top)
+            serving.ranked(df, "rank", top=top, most=serving.MOST_RANKED)
+
+
+def test_pages_of_tied_rows_fit_together(frame):
+    df = frame([(i, i % 2) for i in range(20)], "v int, year int")
+    near = [r["v"] for at in (0, 8) for r in page(df, [F.asc("year")], limit=8, offset=at).collect()]
+    deep = [r["v"] for r in page(df, [F.asc("year")], limit=8, offset=16, deep=8).collect()]
+    assert sorted(near + deep) == list(range(20))
 
 
 def test_cluster_lists(frame):
