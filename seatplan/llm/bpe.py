@@ -114,6 +114,7 @@ def encode(docs: DataFrame, of: Tokenizer, chunks: Chunks | None = None, key: st
     Short and long texts take different ways and are scanned once each; only chunks of long texts move.
     """
     chunks = chunks or Chunks()
+    common.small_batches(docs.sparkSession)
     run, kind = _ids(of), docs.schema[key].dataType.simpleString()
     given = docs.select(F.col(key).alias("_key"), F.coalesce("text", F.lit("")).alias("_text"))
     short = given.filter(F.length("_text") <= chunks.chunk)

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def fold(key: str, folds: int) -> Column:
     """crc32 of the key's text, modulo ``folds``; a null key counts as the empty text."""
@@ -28,6 +30,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what travels to Python at once by bytes, for the session's plans from now on; a session that sets its own bound keeps it.
+
+    By rows alone a batch has no bound: 10,000 long texts are gigabytes, held by the executor and by Python.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, "4m")
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, keep: Column, most: int, key: str = "doc_id") -> DataFrame:
     """At most ``most`` labelled texts ``(_key, _order, _text, _label)``, those with the least hash of their key.
 

@@ -97,6 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, teaches: Column, settings: Settings
     """Dictionaries are made in one task for each label and measures of the other half where its rows lie; what reaches
     the driver is two dictionaries of fixed size and one pair of numbers for each row of the bounded sample."""
     s = settings or Settings()
+    common.small_batches(docs.sparkSession)
     sample = common.written(
         common.labelled(docs, labels, "quality", teaches & (F.col("quality") == 1), s.sample)
         .unionByName(common.labelled(docs, labels, "quality", teaches & (F.col("quality") == 0), s.sample)),

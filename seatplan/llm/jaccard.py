@@ -287,6 +287,7 @@ def verify(pairs: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
 def join(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id") -> DataFrame:
     """``key``, ``n_shingles``, ``class_id`` (least key with the same set) and ``component_id`` (least key reachable) of every row."""
     s = settings or Settings()
+    common.small_batches(docs.sparkSession)
     signed = signatures(docs, spread(docs, s), s, key)
     classes = common.written(
         signed.filter("n > 0 and _key is not null").groupBy("n", "f1", "f2").agg(F.min("row").alias("c"), F.min("_key").alias("class_id")), "classes"

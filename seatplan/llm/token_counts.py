@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seatplan.llm import bpe
+from seatplan.llm import bpe, common
 
 
 def read_flat(spark: SparkSession, path: str, block_bytes: int = 1 << 22) -> DataFrame:
@@ -56,6 +56,7 @@ def flat_blocks(docs: DataFrame, of: bpe.Tokenizer, end: int, block_ids: int = 1
             yield put(bytes(held), keys)
 
     kind = docs.schema[key].dataType.simpleString()
+    common.small_batches(docs.sparkSession)
     return docs.select(F.col(key).alias("_key"), F.col("text").alias("_text")).mapInArrow(run, f"file string, block long, data binary, keys array<{kind}>")
 
 

@@ -132,4 +132,5 @@ def score(docs: DataFrame, weights: DataFrame, settings: Settings, keep: tuple[s
 def fit(docs: DataFrame, labels: DataFrame, teaches: Column, settings: Settings | None = None) -> tuple[DataFrame, Settings]:
     """A model from the labelled rows for which ``teaches`` holds."""
     settings = settings or Settings()
+    common.small_batches(docs.sparkSession)
     return train(common.labelled(docs, labels, "toxic", teaches, settings.sample), settings), settings
