@@ -87,11 +87,13 @@ def scan(blocks: DataFrame, end: int, width: str = "<u2") -> DataFrame:
     placed = found.withColumn("base", base).withColumn("latest", F.when(has, F.col("base") + F.element_at("ends", -1) + 1))
     stitched = placed.withColumn("open", F.coalesce(F.max("latest").over(before), F.lit(0))).withColumn("done", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)))
     starts = F.concat(F.array("open"), F.transform("ends", lambda x: x + F.col("base") + 1))
-    closed = stitched.select("file", "done", "base", starts.alias("starts"), F.posexplode("ends").alias("i", "at")).select(
+    # starts go along with their ends, so no row carries a block's whole list; the last start has no end
+    paired = stitched.withColumn("starts", starts).withColumn("both", F.arrays_zip("starts", "ends"))
+    closed = paired.select("file", "done", "base", F.posexplode("both").alias("i", "one")).filter("one.ends is not null").select(
         "file",
         (F.col("done") + F.col("i")).alias("doc_index"),
-        F.element_at("starts", F.col("i") + 1).alias("first_token"),
-        (F.col("base") + F.col("at") - F.element_at("starts", F.col("i") + 1)).alias("n_tokens"),
+        F.col("one.starts").alias("first_token"),
+        (F.col("base") + F.col("one.ends") - F.col("one.starts")).alias("n_tokens"),
         F.lit(True).alias("ended"),
     )
     last = stitched.groupBy("file").agg(F.sum("n").alias("n"), F.coalesce(F.max("latest"), F.lit(0)).alias("open"), F.sum(F.size("ends")).alias("done"))
