@@ -1,12 +1,18 @@
 """Benchmark decontamination by templates, in DataFrame functions only.
 
 Numbers, names and units become typed placeholders, so a question asked again with other numbers and people keeps its
-template. Windows of ``size`` template words of every text are hash-joined with the benchmark's; a window must hold
-``literal`` words that are no placeholders. (An item with fewer words is one window of its own length.) Windows that
-meet are compared word by word, and their slots are checked: within one text and item, a benchmark value must always
-stand for the same value of the same type. A text holds an item if ``least`` windows (all, where the item has fewer)
-match in distinct places of the item and at least ``agree`` of its slot values are consistent, each of them in at least
-``agree`` of its places.
+template. Windows of ``size`` template words of every text are hash-joined with the benchmark's. (An item with fewer words
+is one window of its own length.) A window with fewer than ``literal`` words that are no placeholders is joined by its
+words as written instead; one of placeholders only counts at full length only. Windows that meet are compared word by word.
+
+A text holds an item if in one of these groups of windows ``least`` (all, where the item has fewer) match in distinct places of
+the item and at least ``agree`` of the slot values are consistent, each of them in at least ``agree`` of its places: a
+benchmark value must always stand for the same value of the same type.
+
+- an occurrence: windows of one distance between the places in text and item, exact or within a few words (``SPANS``), so
+  that neither a window which the item repeats nor another variant of the item in the text disturbs it;
+- all windows of the text, for occurrences with more put in between;
+- all windows that are equal as written, whatever the others say. These alone may have too few literal words.
 
 A number is digits with marks, or a number word; a name is a capitalised word inside a sentence; a unit is one of
 ``UNITS`` after a number. Words are compared lower-cased without ASCII punctuation.
@@ -30,6 +36,8 @@ UNITS = (
     "dollars dollar euros euro cents degrees mph"
 )
 NUMBER_WORDS = "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million"
+#: Widths of the ranges of distances that count as one occurrence; each is laid twice, so that half a width is never cut.
+SPANS = (4, 16)
 _WHITE = "[\\x20\\x09-\\x0D]+"
 _MARKS = "!\"#$%&'()*+,-./:;=?@[\\]^_`{|}~"
 
@@ -50,9 +58,13 @@ def _typed(text: Column) -> Column:
     return F.regexp_replace(text, f"(?<=<num> )(?:{UNITS.replace(' ', '|')})(?![\\p{{L}}])", "<unit>")
 
 
+def _split(text: Column) -> Column:
+    return F.filter(F.split(F.translate(F.lower(text), _MARKS, ""), _WHITE), lambda w: w != "")
+
+
 def template(text: Column) -> Column:
     """The template words of a text."""
-    return F.filter(F.split(F.translate(F.lower(_typed(text)), _MARKS, ""), _WHITE), lambda w: w != "")
+    return _split(_typed(text))
 
 
 def slotted(text: Column) -> Column:
@@ -72,15 +84,34 @@ def _hash(words: Column) -> Column:
     return F.xxhash64(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def _windows(words: Column, size: int) -> Column:
-    """Hashes of all windows, as an array."""
+def _windows(text: Column, size: int, literal: int) -> Column:
+    """Hashes of all windows, as an array: of template words, or of the words as written where too few are literal."""
+
+    def each(x: Column) -> Column:
+        t, h, at, last = x["t"], x["h"], x["open"], F.size(x["h"]) - size
+        plain = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(h, i + 1, size)))
+
+        def mixed(y: Column) -> Column:
+            w, flags = y["w"], y["f"]
+
+            def cut(i: Column) -> Column:
+                open_ = F.size(F.filter(F.slice(flags, i + 1, size), lambda o: o))
+                return F.xxhash64(F.when(open_ > size - literal, F.slice(w, i + 1, size)).otherwise(F.slice(h, i + 1, size)))
+
+            return F.transform(F.sequence(F.lit(0), last), cut)
+
+        # few texts have so many placeholders so near each other
+        many = size - literal + 1
+        dense = F.exists(F.sequence(F.lit(1), F.size(at) - many + 1), lambda j: F.element_at(at, j + many - 1) - F.element_at(at, j) < size)
+        both = F.named_struct(F.lit("w"), F.transform(_split(text), lambda w: F.xxhash64(w)), F.lit("f"), F.transform(t, lambda w: w.startswith("<")))
+        written = _once(both, mixed)
+        return F.when(last < 0, F.array().cast("array<bigint>")).when(F.size(at) < many, plain).when(dense, written).otherwise(plain)
 
-    def each(h: Column) -> Column:
-        last = F.size(h) - size
-        cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(h, i + 1, size)))
-        return F.when(last >= 0, cut).otherwise(F.array().cast("array<bigint>"))
+    def words(t: Column) -> Column:
+        places = F.filter(F.transform(t, lambda w, i: F.when(w.startswith("<"), i)), lambda i: i.isNotNull())
+        return F.named_struct(F.lit("t"), t, F.lit("h"), F.transform(t, lambda w: F.xxhash64(w)), F.lit("open"), places)
 
-    return _once(F.transform(words, lambda w: F.xxhash64(w)), each)
+    return _once(_once(template(text), words), each)
 
 
 def _literal(window: Column) -> Column:
@@ -88,19 +119,29 @@ def _literal(window: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, s: Settings, key: str = "item_id") -> DataFrame:
-    """``(_hash, item_id, _at, _size, _window)`` of every window with enough literal words; ``_window`` holds words and values."""
+    """``(_hash, item_id, _at, _size, _window, _loose)`` of every window; ``_window`` holds words and values.
+
+    ``_loose`` windows have enough literal words to be found with other values; the hash of the others is of the words as written.
+    """
     words = items.filter(F.col(key).isNotNull() & F.col("text").isNotNull()).select(F.col(key).alias("item_id"), slotted(F.col("text")).alias("_words"))
     sized = words.withColumn("_size", F.least(F.lit(s.size), F.size("_words"))).filter("_size > 0")
     placed = sized.select("item_id", "_size", "_words", F.explode(F.sequence(F.lit(0), F.size("_words") - F.col("_size"))).alias("_at"))
     cut = placed.select("item_id", "_at", "_size", F.slice("_words", F.col("_at") + 1, F.col("_size")).alias("_window"))
-    types = F.transform("_window", lambda x: x["t"])
-    return cut.filter(_literal(types) >= F.least(F.lit(s.literal), F.col("_size"))).withColumn("_hash", _hash(types))
+    types, values = F.transform("_window", lambda x: x["t"]), F.transform("_window", lambda x: x["w"])
+    loose = _literal(types) >= F.least(F.lit(s.literal), F.col("_size"))
+    whole = cut.filter((_literal(types) > 0) | (F.col("_size") == s.size)).withColumn("_loose", loose)
+    return whole.withColumn("_hash", F.when(F.col("_loose"), _hash(types)).otherwise(_hash(values)))
+
+
+def _group(kind: int, place: Column) -> Column:
+    return F.named_struct(F.lit("kind"), F.lit(kind), F.lit("place"), place.cast("long"))
 
 
 def find(docs: DataFrame, items: DataFrame, settings: Settings | None = None, key: str = "doc_id", item: str = "item_id") -> DataFrame:
     """``(doc_id, item_id, n_windows, n_item_windows, n_slots, n_changed)`` of every text that holds an item.
 
-    ``n_slots`` counts the item's slot values that the text fills, ``n_changed`` those filled with other values.
+    ``n_windows`` counts the places of the item that the text matches anywhere. ``n_slots`` counts the item's slot values that
+    the agreeing group with the most windows fills (see above), ``n_changed`` those filled with other values.
     """
     s = settings or Settings()
     known = benchmark_windows(items, s, item)
@@ -109,7 +150,7 @@ def find(docs: DataFrame, items: DataFrame, settings: Settings | None = None, ke
     wanted = known.select("_hash").distinct()
     hits = None
     for size in sizes or [s.size]:
-        each = given.select("doc_id", F.posexplode(_windows(template(F.col("_text")), size)).alias("_pos", "_hash"))
+        each = given.select("doc_id", F.posexplode(_windows(F.col("_text"), size, min(s.literal, size))).alias("_pos", "_hash"))
         found = each.join(wanted, "_hash", "left_semi").withColumn("_size", F.lit(size))
         hits = found if hits is None else hits.unionByName(found)
     # what met by hash is a small part of the texts; only these are read again, with their values
@@ -127,32 +168,50 @@ def find(docs: DataFrame, items: DataFrame, settings: Settings | None = None, ke
 
     seen = again.select("doc_id", F.inline(_once(slotted(F.col("_text")), cut)))
     same = F.transform("_mine", lambda x: x["t"]) == F.transform("_window", lambda x: x["t"])
-    met = common.written(seen.join(known, ["_hash", "_size"]).filter(same).select("doc_id", "item_id", "_at", "_window", "_mine"), "template-matches")
+    equal = F.transform("_mine", lambda x: x["w"]) == F.transform("_window", lambda x: x["w"])
+    met = common.written(
+        seen.join(known, ["_hash", "_size"])
+        .withColumn("_equal", equal)
+        .filter(same & (F.col("_loose") | F.col("_equal")))
+        .select("doc_id", "item_id", "_at", (F.col("_pos") - F.col("_at")).alias("_off"), "_loose", "_equal", "_window", "_mine"),
+        "template-matches",
+    )
     slots = F.filter(
         F.zip_with("_window", "_mine", lambda a, b: F.named_struct(F.lit("t"), a["t"], F.lit("asked"), a["w"], F.lit("got"), b["w"])),
         lambda x: x["t"].startswith("<"),
     )
-    # the most frequent filling of a value in this text is its meaning; others disagree
+    # groups of windows: kind 0 is one of all windows, 1 of equal ones, the others are occurrences
+    pooled, as_written = _group(0, F.lit(0)), _group(1, F.lit(0))
+    ranges = [(F.col("_off") + shift, width) for width in SPANS for shift in (0, width // 2)]
+    near = [_group(2 + k, F.floor(off / width)) for k, (off, width) in enumerate([(F.col("_off"), 1), *ranges])]
+    none = F.array().cast("array<struct<kind:int,place:bigint>>")
+    groups = F.concat(F.when(F.col("_loose"), F.array(pooled, *near)).otherwise(none), F.when(F.col("_equal"), F.array(as_written)).otherwise(none))
+    grouped = met.select("doc_id", "item_id", "_at", slots.alias("_slots"), F.inline(groups))
+    group = ["doc_id", "item_id", "kind", "place"]
+    # the most frequent filling of a value in a group is its meaning; others disagree
     filled = (
-        met.select("doc_id", "item_id", F.explode(slots).alias("x"))
-        .groupBy("doc_id", "item_id", "x.t", "x.asked", "x.got")
+        grouped.select(*group, F.explode("_slots").alias("x"))
+        .groupBy(*group, "x.t", "x.asked", "x.got")
         .agg(F.count("*").alias("n"))
-        .groupBy("doc_id", "item_id", "t", "asked")
+        .groupBy(*group, "t", "asked")
         .agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.max((F.col("got") != F.col("asked")).cast("int")).alias("changed"))
-        .groupBy("doc_id", "item_id")
+        .groupBy(*group)
         .agg(F.sum((F.col("most") >= s.agree * F.col("n")).cast("int")).alias("_good"), F.count("*").alias("n_slots"), F.sum("changed").alias("n_changed"))
     )
-    size_of = known.groupBy("item_id").agg(F.countDistinct("_at").alias("n_item_windows"))
-    counted = met.groupBy("doc_id", "item_id").agg(F.countDistinct("_at").alias("n_windows")).join(size_of, "item_id")
-    held = counted.filter(F.col("n_windows") >= F.least(F.lit(s.least).cast("long"), F.col("n_item_windows"))).join(filled, ["doc_id", "item_id"], "left")
-    return held.filter(F.col("n_slots").isNull() | (F.col("_good") >= s.agree * F.col("n_slots"))).select(
-        "doc_id",
-        "item_id",
-        "n_windows",
-        "n_item_windows",
-        F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
-        F.coalesce("n_changed", F.lit(0)).cast("long").alias("n_changed"),
+    size_of = known.groupBy("item_id").agg(
+        F.countDistinct("_at").alias("n_item_windows"), F.countDistinct(F.when(F.col("_loose"), F.col("_at"))).alias("_n_loose")
+    )
+    enough = F.least(F.lit(s.least).cast("long"), F.when(F.col("kind") == 1, F.col("n_item_windows")).otherwise(F.col("_n_loose")))
+    counted = grouped.groupBy(*group).agg(F.countDistinct("_at").alias("_n")).join(size_of, "item_id").filter(F.col("_n") >= enough)
+    agreeing = (
+        counted.join(filled, group, "left")
+        .filter(F.col("n_slots").isNull() | (F.col("_good") >= s.agree * F.col("n_slots")))
+        .withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_slots", "n_changed")})
+        .groupBy("doc_id", "item_id")
+        .agg(F.max("n_item_windows").alias("n_item_windows"), F.max(F.struct("_n", (-F.col("n_changed")).alias("_same"), "n_slots", "n_changed")).alias("_best"))
     )
+    held = met.groupBy("doc_id", "item_id").agg(F.countDistinct("_at").alias("n_windows")).join(agreeing, ["doc_id", "item_id"])
+    return held.select("doc_id", "item_id", "n_windows", "n_item_windows", "_best.n_slots", "_best.n_changed")
 
 
 def clean(docs: DataFrame, items: DataFrame, settings: Settings | None = None, key: str = "doc_id", item: str = "item_id") -> DataFrame:

@@ -67,6 +67,31 @@ def test_templates_and_slots(spark):
     assert decontaminate.find(frame.limit(0), items).count() == decontaminate.find(frame, items.limit(0)).count() == 0
 
 
+def test_repeated_windows_and_several_variants(spark):
+    items = spark.createDataFrame(
+        [
+            (1, "Adam has 5 red apples in his big basket. Bela has 7 red apples in his big basket."),
+            (2, "On a cold day the old farmer sold 12 brown eggs and then gave 3 of them to the poor baker in town."),
+            (3, "Sort 12 7 5 99 3 18 into 2 rows 4 8"),
+            (4, "What is 5 plus 7?"), (5, "42"),
+        ],
+        "item_id long, text string",
+    )
+    asked = "On a cold day the old farmer sold {} brown eggs and then gave {} of them to the poor baker in town."
+    docs = [
+        (1, "We read: Adam has 5 red apples in his big basket. Bela has 7 red apples in his big basket. So it was."),
+        (2, asked.format(12, 3) + " Then we heard this. " + asked.format(40, 9)),
+        (3, asked.format(20, 4) + " And once again. " + asked.format(31, 6) + " And the last. " + asked.format(50, 8)),
+        (4, "Please sort 12 7 5 99 3 18 into 2 rows 4 8 now"),
+        (5, "Please sort 13 7 5 99 3 18 into 2 rows 4 9 now"),
+        (6, "They asked: what is 5 plus 7?"), (7, "They asked: what is 42 plus 7?"),
+    ]
+    found = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (2, 2), (3, 2), (4, 3), (6, 4)}
+    assert all(r["n_changed"] == 0 for r in found if r["doc_id"] in (1, 2, 4, 6))
+    assert [r["n_changed"] for r in found if r["doc_id"] == 3] == [2]
+
+
 def test_revisits(spark):
     t0 = datetime(2024, 1, 1)
     at = lambda minutes: t0 + timedelta(minutes=minutes)
