@@ -1,9 +1,9 @@
 """URL filters: explicit host and path rules, and association rules mined from labelled URLs, in DataFrame functions only.
 
 Tokens of a URL are its host's labels, its whole host, its path segments and its query keys. FP-growth finds token
-combinations among the labelled URLs that imply a bad page; those below ``support`` (a share, and ``rows`` labelled
-rows at least) or ``confidence`` are dropped, and so is a rule of which a part is already a rule. What is left is matched
-by an inverted index: each rule hangs on its rarest token, a URL meets the rules of its own tokens only, and one whose
+combinations among the labelled URLs that imply a bad page; those of fewer than ``rows`` bad rows, however many are
+labelled, or below ``confidence`` are dropped, and so is a rule of which a part is already a rule. Tokens of fewer than
+``rows`` bad rows can be in no such rule and are left out before. What is left is matched by an inverted index: each rule hangs on its rarest token, a URL meets the rules of its own tokens only, and one whose
 tokens hold all of a rule's is blocked. Work is done once for each distinct URL.
 
 Null, empty and relative URLs have an empty host and path, match nothing and are allowed. Repeated rows are judged alike.
@@ -18,13 +18,14 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seatplan.llm import common
+
 BAD = "!bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
 class Settings:
-    support: float = 0.001
     rows: int = 10
     confidence: float = 0.6
 
@@ -67,18 +68,26 @@ def by_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def mine(examples: DataFrame, settings: Settings) -> DataFrame:
     """``(items, confidence, n)``: token sets that imply a bad URL. ``examples`` holds ``_tokens`` and ``_bad``."""
     s = settings
-    n = examples.count()
+    examples = common.written(examples.withColumn("_row", F.monotonically_increasing_id()), "url-examples")
+    spread = examples.select("_row", "_bad", F.explode("_tokens").alias("_on"))
+    wanted = spread.filter("_bad = 1").groupBy("_on").count().filter(F.col("count") >= s.rows).select("_on")
+    kept = spread.join(wanted, "_on").groupBy("_row", "_bad").agg(F.collect_list("_on").alias("_tokens"))
     items = F.when(F.col("_bad") == 1, F.array_append("_tokens", F.lit(BAD))).otherwise(F.col("_tokens"))
-    least = min(1.0, max(s.support, s.rows / max(n, 1)))
-    model = FPGrowth(itemsCol="_items", minSupport=least, minConfidence=s.confidence).fit(examples.select(items.alias("_items")))
+    taught = common.written(kept.select(items.alias("_items")), "url-items")
+    n = taught.count()
+    # the miner rounds up to whole rows; half a row less keeps the product from passing the bound
+    least = min(1.0, (s.rows - 0.5) / max(n, 1))
+    model = FPGrowth(itemsCol="_items", minSupport=least, minConfidence=s.confidence).fit(taught)
     rules = model.associationRules.filter(F.array_contains("consequent", BAD)).select(
         F.sort_array("antecedent").alias("items"), "confidence", F.round(F.col("support") * n).cast("long").alias("n")
     )
-    # a rule of which a part is a rule adds nothing; parts share the item they hang on
-    single = rules.select(F.col("items").alias("_part"), F.explode("items").alias("_on"))
+    rules = common.written(rules, "url-rules")
+    # a rule of which a part is a rule adds nothing; a part hangs on the item that the fewest rules have
+    apart = rules.select("items", F.explode("items").alias("_on"))
+    rare = apart.join(apart.groupBy("_on").agg(F.count("*").alias("_df")), "_on").groupBy("items").agg(F.min(F.struct("_df", "_on")).alias("_least"))
+    single = rare.select(F.col("items").alias("_part"), F.col("_least._on").alias("_on"))
     wider = (
-        rules.select("items", F.explode("items").alias("_on"))
-        .join(single, "_on")
+        apart.join(single, "_on")
         .filter((F.size("_part") < F.size("items")) & (F.size(F.array_except("_part", "items")) == 0))
         .select("items")
         .distinct()

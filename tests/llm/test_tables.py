@@ -43,6 +43,13 @@ def test_mined_combinations(spark):
         assert (r["verdict"] == "block") == bool(r["page_id"] % 2 and r["page_id"] % 3), r
 
 
+def test_a_small_bad_host_among_many_labelled_urls(spark):
+    pages = spark.range(20_000).selectExpr("id as page_id", "if(id < 12, concat('http://casino.net/', id), concat('http://h', id % 50, '.net/', id)) as url")
+    labels = pages.selectExpr("page_id as doc_id", "if(page_id < 12 or page_id % 100 = 99, 0, 1) as quality")
+    judged = url_rules.judge(pages, spark.createDataFrame([], "verdict string, host string, path string"), labels)
+    assert sorted(r["page_id"] for r in judged.filter("verdict = 'block'").collect()) == list(range(12))
+
+
 def test_templates_and_slots(spark):
     items = spark.createDataFrame(
         [
