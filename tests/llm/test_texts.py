@@ -143,6 +143,18 @@ def test_perplexity_band_rejects_noise_only(spark):
     assert not kept[999] and sum(kept.values()) >= 198
 
 
+def test_perplexity_band_is_not_closed_by_copies(spark):
+    import random
+
+    rnd = random.Random(1)
+    vocabulary = ["".join(rnd.choice(("ba", "lo", "mi", "ter", "con", "dis")) for _ in range(rnd.randint(1, 4))) for _ in range(300)]
+    rows = [(k, " ".join(rnd.choices(vocabulary, k=120)), "en") for k in range(200)]
+    rows.append((999, " ".join("".join(chr(rnd.randint(33, 126)) for _ in range(7)) for _ in range(120)), "en"))
+    rows += [(1_000 + k, rows[0][1], "en") for k in range(800)]
+    kept = {r["doc_id"]: r["kept"] for r in perplexity.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not kept[999] and sum(kept[k] for k in range(200)) >= 198 and all(kept[k] for k in range(1_000, 1_800))
+
+
 def test_context_mixing_base_and_probability(docs):
     held = F.coalesce(F.col("doc_id"), F.lit(0)) % 10 == 0
     trained = context_mixing.fit(docs.filter(~held))
