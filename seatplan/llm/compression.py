@@ -2,6 +2,8 @@
 
 The labelled sample (at most ``sample`` rows of each label, those with the least hash of their key) is halved by hash:
 one half makes the dictionaries, the other the calibration, so that it sees sizes of texts that no dictionary holds.
+A dictionary is made of at most ``drawn`` times its size: pieces from the whole length of the texts, in an order given by
+a hash of key and place.
 A text is compressed whole, in pieces of ``piece`` bytes that know only the dictionary, never each other. Its measure
 is the normalised size difference ``(bad - good) / (bad + good)``; a logistic curve over it is the calibration.
 
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatplan.llm import common
+from seatplan.llm.words import U, mix
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,8 @@ class Settings:
     #: Labelled rows of each label that teach, at most.
     sample: int = 6_000
     dictionary: int = 1 << 16
+    #: Bytes a dictionary is made of, as a multiple of its size.
+    drawn: int = 40
     piece: int = 1 << 9
     level: int = 3
 
@@ -36,9 +41,14 @@ def pieces(text: bytes, size: int) -> list[bytes]:
     return [text[i : i + size] for i in range(0, len(text), size)]
 
 
-def _dictionary(texts: list[bytes], s: Settings) -> bytes:
-    """Texts take turns, so that a few long ones do not fill the dictionary."""
-    cuts, chosen, room = [pieces(t, s.piece) for t in texts], [], s.dictionary * 40
+def _shuffled(cut: list[bytes], order: int) -> list[bytes]:
+    place = mix(np.arange(len(cut), dtype=np.uint64) * U(0x9E3779B97F4A7C15) + U(order % (1 << 64)))
+    return [cut[i] for i in np.argsort(place, kind="stable")]
+
+
+def _dictionary(texts: list[bytes], orders: list[int], s: Settings) -> bytes:
+    """Texts take turns, so that a few long ones do not fill the dictionary; each gives its pieces in hashed order."""
+    cuts, chosen, room = [_shuffled(pieces(t, s.piece), o) for t, o in zip(texts, orders, strict=True)], [], s.dictionary * s.drawn
     for turn in range(max(map(len, cuts), default=0)):
         for one in cuts:
             if turn < len(one) and room > 0:
@@ -107,7 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, teaches: Column, settings: Settings
 
     def make(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("_order", "ascending"), ("_key", "ascending"), ("_text", "ascending")])
-        return pa.table({"label": [rows["_label"][0].as_py()], "book": [_dictionary([t.encode() for t in rows["_text"].to_pylist()], s)]})
+        book = _dictionary([t.encode() for t in rows["_text"].to_pylist()], rows["_order"].to_pylist(), s)
+        return pa.table({"label": [rows["_label"][0].as_py()], "book": [book]})
 
     books = {r["label"]: bytes(r["book"]) for r in sample.filter(half).groupBy("_label").applyInArrow(make, "label long, book binary").collect()}
     good, bad = books.get(1, b""), books.get(0, b"")

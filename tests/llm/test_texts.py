@@ -262,6 +262,20 @@ def test_compression_on_held_out_rows(marked):
     assert _f1(rows, lambda r: r["doc_id"] % 4 == 0, lambda r: r["score"] < 0.3) > 0.9
 
 
+def test_compression_hears_of_the_ends_of_texts(spark):
+    import random
+
+    rnd = random.Random(6)
+    start, good, bad = (["".join(rnd.choice(letters) for _ in range(rnd.randint(3, 7))) for _ in range(60)] for letters in ("abcdefgh", "ijklmnop", "qrstuvwx"))
+    rows = [(k, " ".join(rnd.choices(start, k=210) + rnd.choices(bad if k % 2 else good, k=120))) for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(len(" ".join(t.split()[:210])) > 1024 for _, t in rows)
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k, _ in rows], "doc_id long, quality int")
+    model = compression.fit(docs, labels, common.fold("doc_id", 5) != 0, compression.Settings(dictionary=1 << 11))
+    held = [r for r in compression.score(docs, model).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert _f1(held, lambda r: r["doc_id"] % 2, lambda r: r["score"] < 0.5) > 0.9
+
+
 def test_scores_of_odd_texts(docs, marked):
     weights, settings = toxicity.fit(*marked, F.lit(True))
     rows = toxicity.score(docs, weights, settings).collect() + compression.score(docs, compression.fit(*marked, F.lit(True))).collect()
