@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatplan.llm import bpe, common, compression, context_mixing, decontaminate, jaccard, perplexity, revisits, token_counts, toxicity, url_rules
+from seatplan.llm import (
+    bpe, common, compression, context_mixing, decontaminate, jaccard, lexical, perplexity, pieces, revisits, token_counts, toxicity, url_rules, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +119,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(embeddings, whitening.fit(embeddings))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_rules": op1_url_rules,
     "op2_context_mixing": op2_context_mixing,
@@ -128,6 +145,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_revisits": op9_revisits,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_pieces": op12_pieces,
+    "op13_lexical": op13_lexical,
 }
 
 #: How the SQL side sees the crawl log and its revisits.
@@ -165,4 +185,24 @@ SELECT page_id, u AS canonical_url, source AS source_page_id, status,
          || 'expires: ' || (later + 3600) || chr(10) || 'last-modified: ' || dated || chr(10) || 'server: origin' END AS headers
 FROM judged
 """
-ORACLES: dict[str, str] = {"op9_revisits": OP9_SQL}
+#: Ranked search, plainly: every document that shares a term is scored.
+OP13_SQL = r"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counted GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS len FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, total GROUP BY term, docs),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // len))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN counted USING (term) JOIN lengths USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+ORACLES: dict[str, str] = {"op9_revisits": OP9_SQL, "op13_lexical": OP13_SQL}
