@@ -32,7 +32,7 @@ def tokenizer() -> bpe.Tokenizer:
 
 def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
-    return url_rules.judge(table(spark, sf_dir, "pages"), rules, table(spark, sf_dir, "labels"))
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules, table(spark, sf_dir, "labels"), url_rules.Settings(learn_from_rules=True))
 
 
 def op2_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
