@@ -39,6 +39,11 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_BYTES, "4m")
 
 
+def checked(df: DataFrame, most: int) -> DataFrame:
+    """The frame, to be broadcast if it has at most ``most`` rows; a larger one is joined as Spark sees fit."""
+    return F.broadcast(df) if len(df.limit(most + 1).select(F.lit(1)).collect()) <= most else df
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, keep: Column, most: int, key: str = "doc_id") -> DataFrame:
     """At most ``most`` labelled texts ``(_key, _order, _text, _label)``, those with the least hash of their key.
 
