@@ -10,10 +10,17 @@ the whole sequence is one. Two documents link when ``100 * intersection >= perce
 3. Index skipping: prefixes go into lists by n-gram and size block, entries by position; a block out of the size range is
    never met, and an entry whose position leaves too few members is skipped.
 4. Answer skipping: every entry is first checked against the pivot of its list (the entry with the least position). What
-   the pivot has joined into one component needs no further check, so lists of copies take linear work; only pairs of
+   the pivot has joined into one component needs no further check where components are asked for alone; only pairs of
    different components that pass both filters are checked then, each exactly on its full sets.
-
-Links between classes are exact; a class stands for all its copies. Null and empty texts have no n-grams and link with
+5. Answers from a similar set (``count_links``): in each such component the set with the most answers so far becomes a
+   star, and what links with it is written as differences from it; the rest get a second star, and so on. What most of a
+   star's group lacks or has besides is moved into the star, so differences are each set's own. Two sets of a group then
+   link exactly if 100 * lost + percent * gained of both, less (100 + percent) for each difference they share, is within
+   (100 - percent) * size of the star. Pairs that are without sharing any are counted by a running sum, never made; only
+   sets with large differences meet others, through the lists of the differences. Pairs of different groups come from the
+   index as in 4. So every set has its exact number of links, and groups of near copies take about linear work.
+
+Links between classes are exact; a class stands for all its copies, which count as links of one another. Null and empty texts have no n-grams and link with
 nothing, nor do rows with a null key; their component is their own key. Repeated rows are copies. N-grams are 64-bit hashes.
 """
 
@@ -26,7 +33,7 @@ from math import log
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatplan.llm import common
@@ -45,6 +52,8 @@ class Settings:
     frequent_from: int = 8
     #: Pairs of one pivot that a task checks.
     salt_rows: int = 2_000
+    #: Stars that a component gets, one after another; what links with none of them is met through the index alone.
+    stars: int = 2
 
 
 def sets(block: Block, size: int) -> Iterator[np.ndarray]:
@@ -258,13 +267,17 @@ def pivot_pairs(index: DataFrame, s: Settings) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def verify(pairs: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets link. Each a's set meets its b's in a stream; a's with many b's are salted."""
+def verify(pairs: DataFrame, members: DataFrame, s: Settings, differences: bool = False) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets link, with ``lost`` (in a alone) and ``gained`` (in b alone) where these are wanted.
+
+    Each a's set meets its b's in a stream; a's with many b's are salted.
+    """
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / s.salt_rows).cast("int").alias("salts"))
     salted = pairs.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
     left = many.join(members.withColumnRenamed("c", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "set")
     right = salted.join(members.withColumnRenamed("c", "b"), "b").select("a", "salt", "b", "set")
     meeting = left.unionByName(right).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    names = ["a", "b", "lost", "gained"] if differences else ["a", "b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: np.ndarray = np.zeros(0, dtype=np.uint64)
@@ -276,21 +289,103 @@ def verify(pairs: DataFrame, members: DataFrame, s: Settings) -> DataFrame:
                     held = one.copy()
                     continue
                 at = np.searchsorted(held, one)
-                common_n = int((held[np.minimum(at, len(held) - 1)] == one).sum())
+                both = held[np.minimum(at, len(held) - 1)] == one
+                common_n = int(both.sum())
                 if 100 * common_n >= s.percent * (len(held) + len(one) - common_n):
-                    linked.append((a, b))
-            yield pa.record_batch([pa.array([x for x, _ in linked], pa.int64()), pa.array([y for _, y in linked], pa.int64())], names=["a", "b"])
+                    if differences:
+                        lost = np.ones(len(held), dtype=bool)
+                        lost[at[both]] = False
+                        linked.append((a, b, held[lost].view(np.int64), one[~both].view(np.int64)))
+                    else:
+                        linked.append((a, b))
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.record_batch([pa.array([x[k] for x in linked], kinds[k]) for k in range(len(names))], names=names)
 
-    return meeting.mapInArrow(run, "a long, b long")
+    return meeting.mapInArrow(run, ", ".join(f"{x} {kind}" for x, kind in zip(names, ("long", "long", "array<long>", "array<long>"), strict=False)))
 
 
-def join(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id") -> DataFrame:
-    """``key``, ``n_shingles``, ``class_id`` (least key with the same set) and ``component_id`` (least key reachable) of every row."""
+def between(index: DataFrame, label: DataFrame, known: DataFrame, whole: DataFrame, s: Settings) -> DataFrame:
+    """Links ``(a, b)`` between sets of different labels ``(c, k)`` that share a list, but for the pairs ``known``."""
+    placed = index.join(label, "c", "left").withColumn("k", F.coalesce("k", "c"))
+    mixed = placed.groupBy("gram").agg(F.min("k").alias("_a"), F.max("k").alias("_b")).filter("_a <> _b").select("gram")
+    open_ = common.written(placed.join(mixed, "gram", "left_semi"), "open-lists")
+    larger = open_.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") - 1)))
+    rest = (
+        open_.alias("x")
+        .join(larger.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.block") == F.col("y.block")) & F.expr("x.k <> y.k and (x.n < y.n or (x.n = y.n and x.c < y.c))") & passes(s))
+        .selectExpr("least(x.c, y.c) as a", "greatest(x.c, y.c) as b")
+        .distinct()
+        .join(known.selectExpr("least(a, b) as a", "greatest(a, b) as b"), ["a", "b"], "left_anti")
+    )
+    return common.written(verify(common.written(rest, "open-pairs"), whole, s), "open-links")
+
+
+def groups(links: DataFrame, near: DataFrame, whole: DataFrame, s: Settings) -> DataFrame:
+    """``(k, c, lost, gained)``: sets by the star ``k`` that they link with, as differences from it."""
+    ends = links.selectExpr("a as c").unionByName(links.selectExpr("b as c"))
+    answers = common.written(near.join(ends.groupBy("c").agg(F.count("*").alias("_n")), "c"), "answers")
+    none = F.array().cast("array<long>")
+    found = None
+    for _ in range(s.stars):
+        star = answers.groupBy("k").agg(F.max(F.struct("_n", (-F.col("c")).alias("_c"))).alias("_best")).select("k", (-F.col("_best._c")).alias("a"))
+        star = common.written(star, "stars")
+        pairs = common.written(answers.join(star, "k").filter("c <> a").select("a", F.col("c").alias("b")), "star-pairs")
+        linked = verify(pairs, whole, s, differences=True).select(F.col("a").alias("k"), F.col("b").alias("c"), "lost", "gained")
+        one = common.written(linked.unionByName(star.select(F.col("a").alias("k"), F.col("a").alias("c"), none.alias("lost"), none.alias("gained"))), "star-groups")
+        found = one if found is None else found.unionByName(one)
+        answers = common.written(answers.join(one.select("c"), "c", "left_anti"), "answers")
+    return found
+
+
+def centred(found: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Adds ``size`` of the star, after what more than half of its group lose or gain has been moved into it."""
+    many = found.groupBy("k").agg(F.count("*").alias("_m"))
+    moves = []
+    for side in ("lost", "gained"):
+        counted = found.select("k", F.explode(side).alias("_e")).groupBy("k", "_e").agg(F.count("*").alias("_n")).join(many, "k")
+        moves.append(counted.filter("2 * _n > _m").groupBy("k").agg(F.collect_list("_e").alias(f"_{side}")))
+    none = F.array().cast("array<long>")
+    stars = sizes.join(many.select("k"), sizes["c"] == many["k"]).select("k", "n").join(moves[0], "k", "left").join(moves[1], "k", "left")
+    stars = stars.select("k", "n", F.coalesce("_lost", none).alias("_lost"), F.coalesce("_gained", none).alias("_gained"))
+    moved = lambda mine, out, other, into: F.concat(F.array_except(mine, out), F.array_except(into, other))
+    return found.join(stars, "k").select(
+        "k", "c", (F.col("n") - F.size("_lost") + F.size("_gained")).alias("size"),
+        moved("lost", "_lost", "gained", "_gained").alias("lost"), moved("gained", "_gained", "lost", "_lost").alias("gained"),
+    )
+
+
+def within(members: DataFrame, s: Settings) -> DataFrame:
+    """``(c, more)``: the copies ``w`` of all sets of its group that a set links with; ``more`` is to be summed."""
+    away = (100 * F.size("lost") + s.percent * F.size("gained")).cast("long")
+    measured = members.select("k", "c", "w", F.concat("lost", "gained").alias("_own"), away.alias("u"), ((100 - s.percent) * F.col("size")).cast("long").alias("room"))
+    measured = common.written(measured, "measured")
+    # pairs that need no common difference: a running sum over the differences' weights
+    totals = measured.groupBy("k", "u", "room").agg(F.sum("w").alias("w"))
+    points = totals.select("k", F.col("u").alias("at"), F.lit(0).alias("kind"), "w", "u")
+    asked = totals.select("k", (F.col("room") - F.col("u")).alias("at"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("w"), "u")
+    run = Window.partitionBy("k").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = points.unionByName(asked).withColumn("_sum", F.sum("w").over(run)).filter("kind = 1").select("k", "u", "_sum")
+    sure = measured.join(sums, ["k", "u"]).select("c", (F.col("_sum") - F.when(F.expr("2 * u <= room"), F.col("w")).otherwise(0)).alias("more"))
+    # the others share a difference, and one of the two has much of them
+    parts = measured.select("k", "c", "w", "u", "room", F.explode("_own").alias("_e"))
+    far = parts.filter("2 * u > room").alias("x")
+    met = far.join(parts.alias("y"), F.expr("x.k = y.k and x._e = y._e and x.u + y.u > x.room and (2 * y.u <= y.room or x.c < y.c)"))
+    shared = met.groupBy(F.col("x.c").alias("a"), F.col("y.c").alias("b"), F.col("x.w").alias("_wa"), F.col("y.w").alias("_wb"), F.expr("x.u + y.u - x.room").alias("_need")).agg(F.count("*").alias("_shared"))
+    linked = common.written(shared.filter(F.col("_shared") * (100 + s.percent) >= F.col("_need")), "far-links")
+    return sure.unionByName(linked.selectExpr("a as c", "_wb as more")).unionByName(linked.selectExpr("b as c", "_wa as more"))
+
+
+def join(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id", count_links: bool = True) -> DataFrame:
+    """``key``, ``n_shingles``, ``class_id`` (least key with the same set) and ``component_id`` (least key reachable) of every row.
+
+    ``n_links`` is the number of other rows with a key whose set links with the row's, copies included; without
+    ``count_links`` it is left out, and pairs that lie in one component anyway are not checked.
+    """
     s = settings or Settings()
     common.small_batches(docs.sparkSession)
     signed = signatures(docs, spread(docs, s), s, key)
     classes = common.written(
-        signed.filter("n > 0 and _key is not null").groupBy("n", "f1", "f2").agg(F.min("row").alias("c"), F.min("_key").alias("class_id")), "classes"
+        signed.filter("n > 0 and _key is not null").groupBy("n", "f1", "f2").agg(F.min("row").alias("c"), F.min("_key").alias("class_id"), F.count("*").alias("w")), "classes"
     )
     chosen = signed.filter("set is not null").join(classes.select(F.col("c").alias("row")), "row")
     block = F.floor(F.log("n") / log(100 / s.percent)).cast("int")
@@ -302,36 +397,41 @@ def join(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id")
     first = common.written(pivot_pairs(index, s), "pivot-pairs")
     links = common.written(verify(first, whole, s), "pivot-links")
     near = components(links).withColumnsRenamed({"id": "c", "component": "k"})
-    placed = index.join(near, "c", "left").withColumn("k", F.coalesce("k", "c"))
-    mixed = placed.groupBy("gram").agg(F.min("k").alias("_a"), F.max("k").alias("_b")).filter("_a <> _b").select("gram")
-    open_ = common.written(placed.join(mixed, "gram", "left_semi"), "open-lists")
-    larger = open_.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") - 1)))
-    rest = (
-        open_.alias("x")
-        .join(larger.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.block") == F.col("y.block")) & F.expr("x.k <> y.k and (x.n < y.n or (x.n = y.n and x.c < y.c))") & passes(s))
-        .selectExpr("least(x.c, y.c) as a", "greatest(x.c, y.c) as b")
-        .distinct()
-        .join(first.selectExpr("least(a, b) as a", "greatest(a, b) as b"), ["a", "b"], "left_anti")
-    )
-    more = verify(common.written(rest, "open-pairs"), whole, s)
-    group = components(links.unionByName(more)).withColumnsRenamed({"id": "c", "component": "g"})
+    if count_links:
+        found = groups(links, near, whole, s)
+        label = found.select("c", "k")
+    else:
+        label = near
+    every = links.unionByName(between(index, label, first, whole, s))
+    group = components(every).withColumnsRenamed({"id": "c", "component": "g"})
     named = common.written(classes.join(group, "c", "left").withColumn("g", F.coalesce("g", "c")), "groups")
     least = named.groupBy("g").agg(F.min("class_id").alias("component_id"))
-    by_set = named.join(least, "g").select("n", "f1", "f2", "class_id", "component_id")
-    return (
-        signed.select("_key", "n", "f1", "f2")
-        .join(by_set, ["n", "f1", "f2"], "left")
-        .select(
-            F.col("_key").alias(key),
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("_key").isNotNull(), F.coalesce("class_id", "_key")).alias("class_id"),
-            F.when(F.col("_key").isNotNull(), F.coalesce("component_id", "_key")).alias("component_id"),
-        )
-    )
+    by_set = named.join(least, "g").select("c", "n", "f1", "f2", "class_id", "component_id")
+    columns = [
+        F.col("_key").alias(key),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("_key").isNotNull(), F.coalesce("class_id", "_key")).alias("class_id"),
+        F.when(F.col("_key").isNotNull(), F.coalesce("component_id", "_key")).alias("component_id"),
+    ]
+    if count_links:
+        own = classes.select("c", "w")
+        inner = within(centred(found, members.select("c", "n")).join(own, "c"), s)
+        a, b = (label.select(F.col("c").alias(x), F.col("k").alias(f"_{x}")) for x in "ab")
+        outer = every.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct().join(a, "a", "left").join(b, "b", "left")
+        outer = outer.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+        ways = outer.unionByName(outer.selectExpr("b as a", "a as b")).join(own.withColumnRenamed("c", "b"), "b").select(F.col("a").alias("c"), F.col("w").alias("more"))
+        counted = inner.unionByName(ways).groupBy("c").agg(F.sum("more").alias("_more"))
+        by_set = by_set.join(own, "c").join(counted, "c", "left").withColumn("_links", F.col("w") - 1 + F.coalesce("_more", F.lit(0)))
+        columns.append(F.when(F.col("_key").isNotNull(), F.coalesce("_links", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long")).alias("n_links"))
+    return signed.select("_key", "n", "f1", "f2").join(by_set, ["n", "f1", "f2"], "left").select(*columns)
 
 
 def one_of_each(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id") -> DataFrame:
-    """The documents without the other members of their groups: the least key stays, one row of it; rows with a null key stay."""
-    groups = join(docs, settings, key).filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    kept = docs.join(groups, docs[key] == F.col("_kept"), "left_semi")
-    return kept.dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()))
+    """The documents without the other members of their groups: the least key stays, one row of it; rows with a null key stay.
+
+    Of several rows under that key, one of each different text stays, so that none is lost; rows are carried as they are.
+    """
+    groups = join(docs, settings, key, count_links=False).filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(key).alias("_key"), F.xxhash64("text").alias("_same"))
+    kept = rows.join(groups, F.col("_key") == F.col("_kept"), "left_semi").dropDuplicates(["_key", "_same"])
+    return kept.unionByName(rows.filter(F.col("_key").isNull())).select("_doc.*")
