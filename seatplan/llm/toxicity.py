@@ -109,6 +109,16 @@ def train(sample: DataFrame, settings: Settings) -> DataFrame:
 
 def score(docs: DataFrame, weights: DataFrame, settings: Settings, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``score`` of every row."""
+    return docs.select(*keep, _scorer(docs, weights, settings)("text").alias("score"))
+
+
+def below(docs: DataFrame, weights: DataFrame, settings: Settings, bound: float) -> DataFrame:
+    """The rows that score less than ``bound``, as they are, whatever their columns are called."""
+    rows = docs.select(F.struct("*").alias("_doc"), _scorer(docs, weights, settings)("text").alias("_score"))
+    return rows.filter(F.col("_score") < bound).select("_doc.*")
+
+
+def _scorer(docs: DataFrame, weights: DataFrame, settings: Settings):
     table = weights.toArrow()
     dense = np.zeros((1 << settings.bits) + 1, dtype=np.float32)
     dense[table["at"].to_numpy()] = table["w"].to_numpy()
@@ -126,7 +136,7 @@ def score(docs: DataFrame, weights: DataFrame, settings: Settings, keep: tuple[s
             out.append(1 / (1 + np.exp(-np.clip(total + w[1 << bits], -35, 35))))
         return pa.array(np.concatenate(out))
 
-    return docs.select(*keep, scored("text").alias("score"))
+    return scored
 
 
 def fit(docs: DataFrame, labels: DataFrame, teaches: Column, settings: Settings | None = None) -> tuple[DataFrame, Settings]:
