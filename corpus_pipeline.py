@@ -1,11 +1,15 @@
-"""From raw documents to training tokens: quality rules, toxicity, near duplicates, benchmark leaks, token ids."""
+"""From raw documents to training tokens: quality rules, toxicity, near duplicates, benchmark leaks, token ids.
+
+Every stage but the last returns the columns of its documents, whatever they are called. Null and empty texts fail the
+quality rules; an empty table stays empty; of repeated rows one stays, and rows with a null key are never duplicates or
+leaks. Long texts are worked on whole.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from seatplan.llm import bpe, common, decontaminate, jaccard, perplexity, queries, toxicity
 
@@ -17,15 +21,13 @@ TOXIC = 0.7
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie inside their language's perplexity band."""
-    columns = tuple(docs.columns)
-    return perplexity.assess(docs, keep=columns).filter("kept").select(*columns)
+    return perplexity.passing(docs)
 
 
 def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity below ``TOXIC``; the labels teach through the documents that are still there."""
     weights, settings = toxicity.fit(docs, queries.table(spark, sf_dir, "labels"), common.fold("doc_id", 3) != 1)
-    columns = tuple(docs.columns)
-    return toxicity.score(docs, weights, settings, columns).filter(F.col("score") < TOXIC).select(*columns)
+    return toxicity.below(docs, weights, settings, TOXIC)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
