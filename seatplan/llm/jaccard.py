@@ -54,6 +54,8 @@ class Settings:
     salt_rows: int = 2_000
     #: Stars that a component gets, one after another; what links with none of them is met through the index alone.
     stars: int = 2
+    #: Differences that a block of far sets holds, and a quarter of those of a block of the sets they meet.
+    block_differences: int = 1 << 18
 
 
 def sets(block: Block, size: int) -> Iterator[np.ndarray]:
@@ -366,13 +368,60 @@ def within(members: DataFrame, s: Settings) -> DataFrame:
     run = Window.partitionBy("k").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = points.unionByName(asked).withColumn("_sum", F.sum("w").over(run)).filter("kind = 1").select("k", "u", "_sum")
     sure = measured.join(sums, ["k", "u"]).select("c", (F.col("_sum") - F.when(F.expr("2 * u <= room"), F.col("w")).otherwise(0)).alias("more"))
-    # the others share a difference, and one of the two has much of them
-    parts = measured.select("k", "c", "w", "u", "room", F.explode("_own").alias("_e"))
-    far = parts.filter("2 * u > room").alias("x")
-    met = far.join(parts.alias("y"), F.expr("x.k = y.k and x._e = y._e and x.u + y.u > x.room and (2 * y.u <= y.room or x.c < y.c)"))
-    shared = met.groupBy(F.col("x.c").alias("a"), F.col("y.c").alias("b"), F.col("x.w").alias("_wa"), F.col("y.w").alias("_wb"), F.expr("x.u + y.u - x.room").alias("_need")).agg(F.count("*").alias("_shared"))
-    linked = common.written(shared.filter(F.col("_shared") * (100 + s.percent) >= F.col("_need")), "far-links")
-    return sure.unionByName(linked.selectExpr("a as c", "_wb as more")).unionByName(linked.selectExpr("b as c", "_wa as more"))
+    return sure.unionByName(far_links(measured, s))
+
+
+def far_links(measured: DataFrame, s: Settings) -> DataFrame:
+    """``(c, more)`` of pairs that link only for the differences they share; one of the two has more than half the room.
+
+    Sets with much of it meet all sets of their group in blocks of a bounded number of differences, through lists of the
+    block's differences; a block returns sums, so no pair is ever a row.
+    """
+    weight = F.size("_own") + 1
+    heavy = F.expr("2 * u > room")
+    blocks_of = measured.groupBy("k").agg(
+        F.ceil(F.sum(F.when(heavy, weight).otherwise(0)) / s.block_differences).cast("int").alias("_i"),
+        F.ceil(F.sum(weight) / (4 * s.block_differences)).cast("int").alias("_j"),
+    ).filter("_i > 0")
+    placed = measured.join(blocks_of, "k")
+    own = F.pmod(F.xxhash64("c"), F.col("_i")).cast("int"), F.pmod(F.xxhash64("c", F.lit(1)), F.col("_j")).cast("int")
+    many = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    columns = ["k", "i", "j", "c", "w", "u", "room", "_own", "far"]
+    left = placed.filter(heavy).withColumns({"i": own[0], "j": F.explode(many("_j")), "far": F.lit(True)}).select(*columns)
+    right = placed.withColumns({"j": own[1], "i": F.explode(many("_i")), "far": F.lit(False)}).select(*columns)
+    percent = 100 + s.percent
+
+    def meet(group: pa.Table) -> pa.Table:
+        far = group["far"].to_numpy()
+        c, w, u = (group[x].to_numpy() for x in ("c", "w", "u"))
+        room = group["room"][0].as_py()
+        lists = group["_own"].combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        elements, owner, begin = lists.flatten().to_numpy(), np.repeat(np.arange(len(c)), sizes), np.cumsum(sizes) - sizes
+        near = np.flatnonzero(~far)
+        place = np.full(len(c), -1)
+        place[near] = np.arange(len(near))
+        mine = place[owner] >= 0
+        order = np.argsort(elements[mine], kind="stable")
+        listed, posted = elements[mine][order], place[owner[mine]][order]
+        cn, wn, un = c[near], w[near], u[near]
+        more = np.zeros(len(near), dtype=np.int64)
+        keys, sums = [], []
+        for h in np.flatnonzero(far):
+            wanted = elements[begin[h] : begin[h] + sizes[h]]
+            low, high = np.searchsorted(listed, wanted, "left"), np.searchsorted(listed, wanted, "right")
+            n = high - low
+            at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            shared = np.bincount(posted[at], minlength=len(near))
+            need = u[h] + un - room
+            linked = (shared > 0) & (need > 0) & (percent * shared >= need) & ((2 * un <= room) | (c[h] < cn))
+            more[linked] += w[h]
+            keys.append(c[h])
+            sums.append(int(wn[linked].sum()))
+        some = np.flatnonzero(more)
+        return pa.table({"c": pa.array(np.concatenate([np.array(keys, dtype=np.int64), cn[some]])), "more": pa.array(np.concatenate([np.array(sums, dtype=np.int64), more[some]]))})
+
+    return left.unionByName(right).groupBy("k", "i", "j").applyInArrow(meet, "c long, more long")
 
 
 def join(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id", count_links: bool = True) -> DataFrame:
