@@ -177,27 +177,29 @@ def _(spark, sf):
 
 
 def joinable(spark, sf):
-    """Districts with people against districts with schools, once complete and once with a gap."""
+    """Districts with people against districts with schools, and customers against orders, of whom not all have one."""
     people, schools = population(spark, sf), registry(spark, sf)
-    some = schools.where(F.col(KEY) != "NATION_3")
+    customers, orders = (table(spark, sf, t).select(F.col(c).alias("custkey")) for t, c in (("customer", "c_custkey"), ("orders", "o_custkey")))
     note, metric = q.MATCH_NOTE, q.MATCH_METRIC
     return q.assemble_report(
         [
             q.joinability(people, schools, KEY, "people x schools", "silver", metric, note),
-            q.joinability(people, some, KEY, "people x some schools", "silver", metric, note),
+            q.joinability(customers, orders, "custkey", "customers x orders", "silver", metric, note),
         ]
     )
 
 
-def _join_sql(t, cond) -> str:
+def _join_sql(t, key, left, right) -> str:
     return _row_sql(f"'{t}'", "silver", "joinability", f"'{q.MATCH_METRIC}'", "m || '/' || n",
                     "CASE WHEN n = m THEN 'PASS' ELSE 'WARN' END",
                     f"CASE WHEN n > m THEN '{q.MATCH_NOTE}' ELSE '' END",
-                    f"FROM (SELECT count(*) AS n, count(*) FILTER (district_key IN (SELECT district_key FROM reg WHERE {cond})) AS m "
-                    "FROM (SELECT DISTINCT district_key FROM pop))")
+                    f"FROM (SELECT count(*) AS n, count(*) FILTER (k IN ({right})) AS m FROM (SELECT DISTINCT {key} AS k FROM {left}))")
 
 
-_JOINABLE = _join_sql("people x schools", "true") + "\nUNION ALL " + _join_sql("people x some schools", "district_key <> 'NATION_3'")
+_JOINABLE = "\nUNION ALL ".join([
+    _join_sql("people x schools", "district_key", "pop", "SELECT district_key FROM reg"),
+    _join_sql("customers x orders", "c_custkey", "customer", "SELECT o_custkey FROM orders"),
+])
 
 
 @query("dq_joinable", sql(_JOINABLE, "pop", "reg"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatplan.operators import spatial
@@ -147,23 +150,25 @@ def _(spark, sf):
     return sc.with_region(gap_index(spark, sf).select(KEY), regions(spark, sf), KEY, "region")
 
 
-_LOCATED = f"SELECT *, {LOCATED_SQL} FROM built WHERE scenario = 1"
+_LOCATED = f"SELECT *, {LOCATED_SQL} FROM built"
 
 
 @query(
     "nearest_safe",
     sql(
-        """SELECT district_key, safe_key, d AS distance_deg, d * 111 AS distance_km, d * 111 * 2 AS minutes FROM (
-            SELECT p.district_key, q.district_key AS safe_key, d, row_number() OVER (PARTITION BY p.district_key ORDER BY d, q.district_key) AS rn
-            FROM spots p CROSS JOIN spots q CROSS JOIN LATERAL (SELECT sqrt((p.latitude - q.latitude) * (p.latitude - q.latitude)
+        """SELECT scenario, district_key, safe_key, d AS distance_deg, d * 111 AS distance_km, d * 111 * 2 AS minutes FROM (
+            SELECT p.scenario, p.district_key, q.district_key AS safe_key, d,
+                row_number() OVER (PARTITION BY p.scenario, p.district_key ORDER BY d, q.district_key) AS rn
+            FROM spots p JOIN spots q USING (scenario) CROSS JOIN LATERAL (SELECT sqrt((p.latitude - q.latitude) * (p.latitude - q.latitude)
                 + (p.longitude - q.longitude) * (p.longitude - q.longitude)) AS d)
             WHERE p.tier IN ('Sangat Kritis', 'Kritis') AND q.tier = 'Aman') WHERE rn = 1""",
         "idx", **CTES, spots=_LOCATED,
     ),
 )
 def _(spark, sf):
-    at = settled(spark, located(built(spark, sf).where("scenario = 1")), "scenario")
-    return spatial.nearest_safe(at, KEY)
+    at = settled(spark, located(built(spark, sf)), "scenario")
+    each = [spatial.nearest_safe(at.where(F.col("scenario") == i), KEY).withColumn("scenario", F.lit(i)) for i in range(1, len(GRID) + 1)]
+    return reduce(DataFrame.unionByName, each)
 
 
 def _customer_points(spark, sf):

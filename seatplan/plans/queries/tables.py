@@ -16,7 +16,11 @@ ALL_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
 )
-LAYERS = {"bronze": ("orders", "lineitem", "events"), "silver": ("customer", "supplier", "part"), "gold": ("nation", "region")}
+LAYERS = {
+    "bronze": ("orders", "lineitem", "events", "documents", "pages", "conversations"),
+    "silver": ("customer", "supplier", "part", "embeddings", "labels", "benchmark"),
+    "gold": ("nation", "region"),
+}
 EVENT_SCHEMA = "event_id bigint, event_type string, user_id bigint, value double, props string"
 
 
@@ -232,8 +236,8 @@ def _(spark, sf):
 
 @query(
     "unmatched_keys",
-    "SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)",
+    "SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
 )
 def _(spark, sf):
-    orders = table(spark, sf, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
     return unmatched_keys(table(spark, sf, "customer"), orders, "c_custkey")

@@ -215,8 +215,8 @@ def located(df: DataFrame) -> DataFrame:
 
 
 def regions(spark: SparkSession, sf: str) -> DataFrame:
-    """district_key -> region name; the last region's districts are left out so that some have none."""
-    region = table(spark, sf, "region").where("r_regionkey < 4").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    """district_key -> region name."""
+    region = table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     return table(spark, sf, "nation").join(region, "n_regionkey").select(
         F.col("n_name").alias(KEY), F.col("r_name").alias("region")
     )
@@ -394,7 +394,7 @@ CTES |= {
     ),
     "regions": (
         (),
-        "SELECT n_name AS district_key, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey < 4",
+        "SELECT n_name AS district_key, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey",
     ),
 }
 
