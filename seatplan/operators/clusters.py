@@ -18,6 +18,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seatplan.operators.ranking import global_rank
+
 FEATURES = ("deficit_rate", "utilization_norm", "growth_rate", "index_raw")
 # Label of each priority, most urgent first.
 PRIORITY_LABELS = ("KRITIS", "TINGGI", "SEDANG", "RENDAH")
@@ -25,8 +27,9 @@ PRIORITY_LABELS = ("KRITIS", "TINGGI", "SEDANG", "RENDAH")
 # Every statistic below keeps one entry per cluster in one row; comparing
 # clusters is quadratic in their number by definition.
 MAX_CLUSTERS = 10_000
-# Answers that hold all members of a mart at once: member lists, Euclidean silhouettes.
+# Answers that hold all members of a mart at once: Euclidean silhouettes.
 MAX_EXACT_ROWS = 20_000
+MEMBERS_PER_PAGE = 1_000
 
 
 def fill_missing(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
@@ -168,15 +171,19 @@ def cluster_counts(clustered: DataFrame, score: str) -> DataFrame:
     )
 
 
-def cluster_members(clustered: DataFrame, name: str, max_rows: int = MAX_EXACT_ROWS) -> DataFrame:
-    """Names per priority, all districts once each, as lists for a mart of checked size.
+def cluster_members(clustered: DataFrame, name: str, per_page: int = MEMBERS_PER_PAGE) -> DataFrame:
+    """Names per priority, all districts once each, in sorted pages numbered from 1.
 
-    Larger inputs keep one row per member: ``serving.cluster_list``.
+    Members are numbered over range partitions, so a priority of any size never meets in one place; a page does.
     """
-    if clustered.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} members: list them as rows")
-    return clustered.groupBy("priority_rank").agg(
-        F.min("priority_label").alias("priority_label"), F.sort_array(F.collect_list(name)).alias("members")
+    rows = clustered.select("priority_rank", "priority_label", F.col(name).alias("_name"))
+    numbered = global_rank(rows, [F.col("priority_rank"), F.col("_name")], "_at")
+    first = numbered.groupBy(F.col("priority_rank").alias("_rank")).agg(F.min("_at").alias("_first"))
+    paged = numbered.join(first, F.col("priority_rank").eqNullSafe(F.col("_rank"))).withColumn(
+        "page", (F.floor((F.col("_at") - F.col("_first")) / per_page) + 1).cast("int")
+    )
+    return paged.groupBy("priority_rank", "page").agg(
+        F.min("priority_label").alias("priority_label"), F.sort_array(F.collect_list("_name")).alias("members")
     )
 
 

@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,6 +168,19 @@ def guarded(spark: SparkSession, build: Callable[[], DataFrame], table: str, lay
         return _row(spark.range(1), table, layer, dimension, metric, F.lit("ERROR"), F.lit("FAIL"), F.lit(reason))
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame], table: str, layer: str, dimension: str, metric: str) -> DataFrame:
+    """A check carried out by itself: its few rows, or one failed row if it cannot be planned or fails while it runs.
+
+    ``guarded`` sees only what fails while the plan is built; here a task's error costs its own check and no other.
+    """
+    try:
+        rows = build().select(*REPORT_COLUMNS).collect()
+    except (PySparkException, Py4JJavaError) as e:
+        condition = e.getCondition() if isinstance(e, PySparkException) else None
+        rows = [(table, layer, dimension, metric, "ERROR", "FAIL", (condition or str(e))[:NOTE_LENGTH])]
+    return spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in REPORT_COLUMNS))
+
+
 def assemble_report(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatplan.functions.numbers import ratio
+from seatplan.operators.quantiles import interpolated, quantiles_of, value_counts
 
 
 def at_maximum(df: DataFrame, value: str, columns: Sequence[str], max_as: str) -> DataFrame:
@@ -77,13 +78,23 @@ def category_stats(df: DataFrame, category: str, value: str) -> DataFrame:
 
 
 def mean_and_median(df: DataFrame, value: str) -> DataFrame:
-    return df.agg(F.avg(value).alias("mean_value"), F.median(value).alias("median_value"))
+    """Both from one pass over the rows: the counts per value say everything."""
+    counts = value_counts(df, value)
+    median = quantiles_of(counts, (0.5,)).select(interpolated(0.5))
+    mean = F.sum(F.col("_v").cast("double") * F.col("_n")) / F.nullif(F.sum("_n"), F.lit(0))
+    return counts.agg(mean.alias("mean_value")).withColumn("median_value", median.scalar())
 
 
 def quartiles(df: DataFrame, by: str, value: str, *, approximate: bool = False) -> DataFrame:
-    """Box-plot quartiles. Exact keeps one counter per distinct value and group; sketches do not."""
-    at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile_approx(value, at, F.lit(10_000)) if approximate else F.percentile(value, at)
+    """Box-plot quartiles. Exact ones are selected by rank over range partitions; sketches take one aggregation."""
+    if not approximate:
+        last = F.col("_total") - 1
+        return quantiles_of(value_counts(df, value, [by]), (0.0, 0.25, 0.5, 0.75, 1.0)).select(
+            F.col(f"_g.`{by}`"), F.try_element_at("_at", F.lit(0).cast("long")).alias("low"),
+            *[interpolated(f).alias(n) for n, f in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))],
+            F.try_element_at("_at", last).alias("high"),
+        )
+    q = F.percentile_approx(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10_000))
     return df.groupBy(by).agg(q.alias("_q"), F.min(value).alias("low"), F.max(value).alias("high")).select(
         by, "low", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q2"), F.col("_q")[2].alias("q3"), "high"
     )

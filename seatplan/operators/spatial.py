@@ -32,7 +32,7 @@ def nearest_site(
     The number of sites is checked first. Few sites are scanned per point inside
     an expression, so nothing is shuffled; many sites go through a grid.
     Points get no row when there is no site. Points and sites without a
-    coordinate take no part.
+    finite coordinate take no part.
     """
     points, sites = _placed(points, lat, lon), _placed(sites, lat, lon)
     if sites.limit(max_array_sites + 1).count() <= max_array_sites:
@@ -41,7 +41,7 @@ def nearest_site(
 
 
 def _placed(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    return df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(F.col(lat)) & ~F.isnan(F.col(lon)))
+    return df.where((F.abs(F.col(lat)) < math.inf) & (F.abs(F.col(lon)) < math.inf))
 
 
 def _nearest_in_array(points, sites, point_id, site_id, lat, lon) -> DataFrame:

@@ -115,6 +115,9 @@ def _(spark, sf):
     return rounded(cl.cluster_counts(priority_clusters(spark, sf), "index_score"), "mean_score")
 
 
+PAGE = 4
+
+
 @query(
     "cluster_members",
     sql(
@@ -125,6 +128,21 @@ def _(spark, sf):
 )
 def _(spark, sf):
     listed = cl.cluster_members(priority_mart(spark, sf), KEY)
+    return listed.drop("page").withColumn("members", F.array_join("members", ","))
+
+
+@query(
+    "cluster_member_pages",
+    sql(
+        f"""SELECT priority_rank, CAST((n - 1) // {PAGE} + 1 AS INTEGER) AS page, min(priority_label) AS priority_label,
+        string_agg(district_key, ',' ORDER BY district_key) AS members
+        FROM (SELECT *, row_number() OVER (PARTITION BY priority_rank ORDER BY district_key) AS n FROM pri) GROUP BY 1, 2""",
+        "idx", **WITH_PRIORITY,
+    ),
+)
+def _(spark, sf):
+    """Member lists in pages of a few names."""
+    listed = cl.cluster_members(priority_mart(spark, sf), KEY, PAGE)
     return listed.withColumn("members", F.array_join("members", ","))
 
 

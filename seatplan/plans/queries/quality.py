@@ -216,6 +216,32 @@ def missing_table(spark, sf):
 
 _MISSING = _row_sql("'no_such_table'", "bronze", "reconciliation", f"'{q.ROW_COUNT_METRIC}'", "'ERROR'", "'FAIL'", "'PATH_NOT_FOUND'")
 
+def failing(spark, sf):
+    """A sound check, one whose tasks meet text that is no number, and one whose table is missing."""
+    lines = table(spark, sf, "lineitem")
+    parts = {
+        "lineitem": lambda: q.run_checks(lines, "lineitem", "bronze", [q.not_null("l_returnflag", "flag_null")]),
+        "unreadable": lambda: q.run_checks(
+            lines.withColumn("flag", F.col("l_returnflag").cast("int")), "unreadable", "bronze", [q.not_null("flag", "flag_null")]
+        ),
+        "no_such_table": lambda: q.run_checks(spark.read.parquet(f"{sf}/no_such_table.parquet"), "no_such_table", "bronze", [q.row_count(1)]),
+    }
+    return q.assemble_report([q.settled(spark, build, t, "bronze", "validity", "flag_null") for t, build in parts.items()])
+
+
+_FAILED = _row_sql("'unreadable'", "bronze", "validity", "'flag_null'", "'ERROR'", "'FAIL'", "'CAST_INVALID_INPUT'")
+
+
+@query("dq_failing_checks", "\nUNION ALL ".join([
+    _row_sql("'lineitem'", "bronze", "validity", "'flag_null'", f"bad || ' (' || {sql_round('bad / rows * 100', 2)} || '%)'",
+             "CASE WHEN bad = 0 THEN 'PASS' ELSE 'WARN' END",
+             source="FROM (SELECT count(*) AS rows, count(*) FILTER (l_returnflag IS NULL) AS bad FROM lineitem)"),
+    _FAILED, _FAILED.replace("unreadable", "no_such_table").replace("CAST_INVALID_INPUT", "PATH_NOT_FOUND"),
+]))
+def _(spark, sf):
+    return failing(spark, sf)
+
+
 PARTS = (reconcile, complete, consistency, unique, valid, types, joinable, missing_table)
 _ALL_SQL = "\nUNION ALL ".join(f"({p})" for p in (RECONCILE, COMPLETE, _CONSISTENCY, _UNIQUE, VALID, _TYPES, _JOINABLE, _MISSING))
 

@@ -132,7 +132,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     listed = serving.cluster_summary(priority_mart(spark, sf), KEY, "kritis")
-    return listed.withColumn("members", F.array_join("members", ","))
+    return listed.drop("page").withColumn("members", F.array_join("members", ","))
 
 
 @query("serve_metrics", METRICS_SQL)

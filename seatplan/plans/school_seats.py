@@ -99,6 +99,7 @@ CLUSTER_COLUMNS = {
 METRIC_COLUMNS = {
     "model": "model", "metric": "metric", "value": "value", "unit": "unit", "status": "status", "interpretasi": "meaning",
 }
+# CSV exports, their marts and columns.
 EXPORTS = {
     "demand_proyeksi": ("gold_demand_proyeksi", tuple(DEMAND_COLUMNS)),
     "kapasitas": (
@@ -116,6 +117,25 @@ EXPORTS = {
     "elbow_data": ("elbow_data", ("k", "inertia")),
     "evaluation": ("gold_evaluation_metrics", (*METRIC_COLUMNS, "_generated_at")),
 }
+# What the serving store's tables hold, where that is less than the mart does.
+_PERIOD_COLUMNS = ("tahun", "periode", "periode_norm")
+SERVED_COLUMNS = {
+    "gold_demand_proyeksi": tuple(DEMAND_COLUMNS),
+    "gold_kapasitas_kecamatan": tuple(CAPACITY_COLUMNS),
+    "gold_gap_analysis": EXPORTS["gap_analysis"][1],
+    "gold_rekomendasi_usb_rkb": tuple(RECOMMENDATION_COLUMNS),
+    "gold_school_capacity_gap_index": tuple(INDEX_COLUMNS),
+    "gold_cluster_priority": tuple(CLUSTER_COLUMNS),
+    "gold_evaluation_metrics": tuple(METRIC_COLUMNS),
+    "gold_data_quality_report": quality.REPORT_COLUMNS,
+    "sby_sekolah_per_kecamatan": (KEY, NAME, "sekolah_negeri", "sekolah_swasta", "total_sekolah", *_PERIOD_COLUMNS),
+    "sby_siswa_per_kecamatan": (KEY, NAME, "siswa_negeri", "siswa_swasta", "total_siswa", *_PERIOD_COLUMNS),
+    "sby_sd_akreditasi_summary": (KEY, NAME, "akreditasi_a", "akreditasi_b", "akreditasi_c", "belum_akreditasi", "total_sekolah", *_PERIOD_COLUMNS),
+    "sby_smp_akreditasi_summary": (KEY, NAME, "akreditasi_a", "akreditasi_b", "akreditasi_c", "belum_akreditasi", "total_sekolah", *_PERIOD_COLUMNS),
+    "sby_rasio_murid_guru": (KEY, NAME, *[f"{s}_{c}" for s in ("sd", "smp", "mi", "mts") for c in ("murid", "guru", "rasio")], *_PERIOD_COLUMNS),
+    "sby_penduduk_usia_summary": (KEY, NAME, *[f"usia_{i}" for i in range(16)]),
+}
+# Tables of the serving store.
 PUBLISHED_TABLES = (
     "gold_demand_proyeksi", "gold_kapasitas_kecamatan", "gold_gap_analysis", "gold_rekomendasi_usb_rkb",
     "gold_school_capacity_gap_index", "gold_cluster_priority", "gold_evaluation_metrics", "gold_data_quality_report",
@@ -216,14 +236,18 @@ class SeatPlan:
         return self._write_gold(_publish(decided, RECOMMENDATION_COLUMNS), "gold_rekomendasi_usb_rkb")
 
     def maximum(self) -> list[Outcome]:
-        """Schools at the greatest capacity, and that capacity plus a fifth."""
+        """The greatest capacity, the schools that have it, and that capacity plus a fifth."""
         registry, seats = self.read("bronze", REGISTRY), "kapasitas_pagu_siswa"
         columns = [c for c in ("kode_sekolah", "nama_sekolah", "kecamatan", "kelurahan", "tipe_sekolah", "status_sekolah") if c in registry.columns]
-        at_top = reports.at_maximum(registry, seats, columns, "max_kapasitas_pagu_siswa")
+        at_top = reports.at_maximum(registry, seats, [*columns, seats], "max_kapasitas_pagu_siswa")
+        top = registry.agg(F.max(seats).alias("max_kapasitas_pagu_siswa")).withColumn("_silver_created_at", self._now())
         plus = reports.maximum_plus(registry, seats, 1.2, "max_kapasitas_pagu_siswa", "max_kapasitas_plus_20_percent")
         return writers.each_isolated(
             {
-                "sby_max_kapasitas": lambda: writers.write_counted(at_top, f"{self.root}/silver", "sby_max_kapasitas"),
+                "sby_max_kapasitas": lambda: writers.write_counted(top, f"{self.root}/silver", "sby_max_kapasitas"),
+                "sby_max_kapasitas_detail": lambda: writers.write_counted(
+                    at_top.withColumn("_bronze_processed_at", self._now()), f"{self.root}/silver", "sby_max_kapasitas_detail"
+                ),
                 "sby_max_kapasitas_plus_20": lambda: self._write_gold(plus, "sby_max_kapasitas_plus_20"),
             }
         )
@@ -303,7 +327,7 @@ class SeatPlan:
             )
 
         def add(build, table: str, layer: str, dimension: str, metric: str) -> None:
-            parts.append(q.guarded(spark, build, table, layer, dimension, metric))
+            parts.append(q.settled(spark, build, table, layer, dimension, metric))
 
         for t in EXPECTED_ROWS:
             add(lambda t=t: bronze(t), t, "bronze", "reconciliation", q.ROW_COUNT_METRIC)
@@ -324,9 +348,17 @@ class SeatPlan:
 
         return writers.each_isolated({n: (lambda n=n: one(n)) for n in EXPORTS})
 
+    def served(self, table: str) -> DataFrame:
+        """A mart as the serving store holds it: its columns alone, without time stamps.
+
+        A column that the landed data lack is left out; the store fills it with NULL.
+        """
+        mart = self.read("gold", table)
+        return mart.select(*[F.col(f"`{c}`") for c in SERVED_COLUMNS[table] if c in mart.columns])
+
     def publish(self, url: str, **login: str) -> list[Outcome]:
         def one(table: str) -> Outcome:
-            return jdbc.publish(self.read("gold", table), url, table, **login)
+            return jdbc.publish(self.served(table), url, table, **login)
 
         return writers.each_isolated({t: (lambda t=t: one(t)) for t in PUBLISHED_TABLES})
 

@@ -114,8 +114,8 @@ def test_cluster_districts_finds_clear_groups(frame):
     counts = as_dicts(cl.cluster_counts(got, "index_score"), "priority_rank")
     assert [counts[i]["districts"] for i in (1, 2, 3, 4)] == [6] * 4
     assert as_dicts(cl.cluster_members(got, "k"), "priority_rank")[2]["members"] == [f"D{i:02}" for i in range(1, 24, 4)]
-    with pytest.raises(ValueError):
-        cl.cluster_members(got, "k", max_rows=5)
+    pages = {(r["priority_rank"], r["page"]): r["members"] for r in cl.cluster_members(got, "k", 4).collect()}
+    assert pages[2, 1] == [f"D{i:02}" for i in range(1, 16, 4)] and pages[2, 2] == ["D17", "D21"] and len(pages) == 8
     profile = as_dicts(cl.cluster_profile(got), "priority_rank")
     assert profile[1]["mean_deficit_rate"] > profile[4]["mean_deficit_rate"]
 

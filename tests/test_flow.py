@@ -140,7 +140,9 @@ def test_index_clusters_and_metrics(flow):
 
 def test_maximum(flow):
     plan, (_, schools, _), _, _, _ = flow
-    assert plan.read("silver", "sby_max_kapasitas").count() == len(schools) // 2
+    assert [c for c in plan.read("silver", "sby_max_kapasitas").columns] == ["max_kapasitas_pagu_siswa", "_silver_created_at"]
+    assert [r["max_kapasitas_pagu_siswa"] for r in plan.read("silver", "sby_max_kapasitas").collect()] == [9999]
+    assert plan.read("silver", "sby_max_kapasitas_detail").count() == len(schools) // 2
     row = plan.read("gold", "sby_max_kapasitas_plus_20").first()
     assert (row["max_kapasitas_pagu_siswa"], row["max_kapasitas_plus_20_percent"]) == (9999, pytest.approx(9999 * 1.2))
 
@@ -163,5 +165,7 @@ def test_exports_and_publishing_isolate_failures(flow):
     head = plan.spark.read.csv(str(tmp / "csv" / "clusters"), header=True).columns
     assert head[:3] == ["kecamatan_key", "kecamatan_norm", "scgi_score"]
     # no driver for such a store exists here: every table reports its own failure
+    gaps = plan.served("gold_gap_analysis").columns
+    assert gaps[-1] == "utilisasi_pct" and not {"total_pagu", "murid_aktual", "_gold_created_at"} & set(gaps)
     published = plan.publish("jdbc:nowhere://x", user="u")
     assert len(published) == 14 and all(o.error for o in published)
