@@ -1,11 +1,13 @@
 """Byte-level BPE encoding and decoding of whole texts, long ones in overlapping chunks.
 
-A text of up to ``chunk`` characters is one piece. A longer one is cut into chunks that overlap by ``overlap``
+A text of up to ``chunk`` characters is one piece. A longer one is cut in one walk into chunks that overlap by ``overlap``
 characters and lie on different tasks. Each chunk is pre-tokenised on its own; where the starts of pre-tokens of two
 neighbours agree inside their overlap, both go on alike, so the first such place is the border between their pieces.
-Pieces are then encoded in parallel, and a text's ids are its pieces' ids in order. The pattern looks one character
-ahead at most, so a start before a chunk's last pre-token does not depend on where the chunk was cut.
-Where some border of a text has no common start (a pre-token longer than the overlap), the text is encoded as one piece.
+Pieces are then encoded in parallel, and a text's ids are its pieces' ids in order. Only starts that no later text can
+move count: those of pre-tokens that end in a letter or digit, ``REACH`` characters or more before the cut.
+Where some border of a text has no common start (a pre-token longer than the overlap, a long run of spaces), the text's
+chunks are walked in order by one task, which holds only what follows the last sure start: a piece ends at each sure start
+that a chunk brings. These pieces are encoded in parallel too, and only a pre-token itself is never divided.
 
 Null texts are empty; empty texts have no ids. Repeated rows and keys are encoded row by row.
 """
@@ -47,8 +49,14 @@ def _matcher(pattern: str):
     return regex.compile(pattern)
 
 
-def starts(text: str, pattern: str) -> list[int]:
-    return [m.start() for m in _matcher(pattern).finditer(text)]
+#: The pattern decides on a pre-token's end within so many characters after it ("'ll" needs two), white space aside.
+REACH = 8
+
+
+def sure_starts(text: str, pattern: str, last: bool = False) -> list[int]:
+    """Starts of pre-tokens that stand whatever follows the text (``last``: nothing does)."""
+    end = len(text) if last else len(text) - REACH
+    return [m.start() for m in _matcher(pattern).finditer(text) if m.start() <= end and m.group()[-1].isalnum()]
 
 
 @dataclass(frozen=True)
@@ -57,6 +65,10 @@ class Chunks:
     overlap: int = 1 << 10
 
 
+#: Chunks that a task cuts off a text before it hands them on.
+CUT_AT_ONCE = 64
+
+
 def _ids(of: Tokenizer):
     """For an Arrow column of texts: the number of ids, the ids as decimals joined by commas, and the decoded bytes."""
 
@@ -71,23 +83,31 @@ def _ids(of: Tokenizer):
 def pieces(long: DataFrame, of: Tokenizer, chunks: Chunks) -> DataFrame:
     """``(_row, _k, _piece)`` of texts ``(_row, _text)`` longer than a chunk."""
     c, o = chunks.chunk, chunks.overlap
-    cut = long.select(
-        "_row", F.explode(F.sequence(F.lit(0), F.ceil(F.length("_text") / c).cast("int") - 1)).alias("_k"), "_text"
-    ).select("_row", "_k", F.expr(f"substring(_text, _k * {c} + 1, {c + o})").alias("_chunk"))
-    cut = cut.repartition("_row", "_k")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in zip(batch.column("_row").to_pylist(), batch.column("_text"), strict=True):
+                text = text.as_py()
+                n = max(-(-(len(text) - o) // c), 1)  # the last chunk is longer than the overlap
+                for at in range(0, n, CUT_AT_ONCE):
+                    ks = range(at, min(at + CUT_AT_ONCE, n))
+                    yield pa.record_batch(
+                        [pa.array([row] * len(ks), pa.int64()), pa.array(ks, pa.int32()), pa.array([k == n - 1 for k in ks]), pa.array([text[k * c : k * c + c + o] for k in ks], pa.string())],
+                        names=["_row", "_k", "_last", "_chunk"],
+                    )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             head, tail = [], []
-            for k, text in zip(batch.column("_k").to_pylist(), batch.column("_chunk").to_pylist(), strict=True):
-                at = starts(text, of.pattern)
+            for k, last, text in zip(*(batch.column(x).to_pylist() for x in ("_k", "_last", "_chunk")), strict=True):
+                at = sure_starts(text, of.pattern, last)
                 head.append([k * c + x for x in at if x <= o])
-                # the last pre-token may go on behind the cut, its start stands
                 tail.append([k * c + x for x in at if x >= c])
             kind = pa.list_(pa.int64())
-            yield pa.record_batch([batch.column("_row"), batch.column("_k"), batch.column("_chunk"), pa.array(head, kind), pa.array(tail, kind)], names=["_row", "_k", "_chunk", "_head", "_tail"])
+            yield pa.record_batch([*batch.columns, pa.array(head, kind), pa.array(tail, kind)], names=["_row", "_k", "_last", "_chunk", "_head", "_tail"])
 
-    scanned = common.written(cut.mapInArrow(scan, "_row long, _k int, _chunk string, _head array<long>, _tail array<long>"), "bpe-chunks")
+    dealt = long.mapInArrow(cut, "_row long, _k int, _last boolean, _chunk string").repartition("_row", "_k")
+    scanned = common.written(dealt.mapInArrow(scan, "_row long, _k int, _last boolean, _chunk string, _head array<long>, _tail array<long>"), "bpe-chunks")
     ahead = scanned.select("_row", (F.col("_k") - 1).alias("_k"), F.col("_head").alias("_next"))
     borders = (
         scanned.select("_row", "_k", "_tail")
@@ -104,8 +124,40 @@ def pieces(long: DataFrame, of: Tokenizer, chunks: Chunks) -> DataFrame:
         .selectExpr("_row", "_k", f"coalesce(_from, 0) - _k * {c} as _a", f"coalesce(_to - _k * {c}, length(_chunk)) as _b", "_chunk")
         .selectExpr("_row", "_k", "substring(_chunk, cast(_a + 1 as int), cast(_b - _a as int)) as _piece")
     )
-    whole = long.join(broken, "_row", "left_semi").selectExpr("_row", "0 as _k", "_text as _piece")
-    return cuts.unionByName(whole)
+    in_order = scanned.join(broken, "_row", "left_semi").select("_row", "_k", F.when(F.col("_last"), F.col("_chunk")).otherwise(F.substring("_chunk", 1, c)).alias("_own"))
+    walked = in_order.repartition("_row").sortWithinPartitions("_row", "_k").mapInArrow(walk(of.pattern), "_row long, _k int, _piece string")
+    return cuts.unionByName(walked.repartition("_row", "_k"))
+
+
+def walk(pattern: str):
+    """For chunks ``(_row, _k, _own)`` in order, without overlap: the pieces between sure starts, numbered."""
+
+    def pieces_of(rows: Iterator[tuple[int, str]]) -> Iterator[tuple[int, int, str]]:
+        row, k, held, size, due = None, 0, [], 0, 0
+        for at, own in rows:
+            if at != row:
+                if held:
+                    yield row, k, "".join(held)
+                row, k, held, size, due = at, 0, [], 0, 0
+            held.append(own)
+            size += len(own)
+            # what holds no sure start is looked through again only when it has doubled
+            if size >= due:
+                text = "".join(held)
+                border = max(sure_starts(text, pattern), default=0)
+                if border:
+                    yield row, k, text[:border]
+                    k, text = k + 1, text[border:]
+                held, size, due = [text], len(text), 0 if border else 2 * len(text)
+        if held:
+            yield row, k, "".join(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (x for b in batches for x in zip(b.column("_row").to_pylist(), b.column("_own").to_pylist(), strict=True))
+        for row, k, piece in pieces_of(rows):
+            yield pa.record_batch([pa.array([row], pa.int64()), pa.array([k], pa.int32()), pa.array([piece], pa.string())], names=["_row", "_k", "_piece"])
+
+    return run
 
 
 def encode(docs: DataFrame, of: Tokenizer, chunks: Chunks | None = None, key: str = "doc_id") -> DataFrame:
@@ -136,7 +188,8 @@ def encode(docs: DataFrame, of: Tokenizer, chunks: Chunks | None = None, key: st
     joined = encoded.groupBy("_row").agg(F.sum("_n").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("_k", "_ids", "_raw"))).alias("_all"))
     # a piece without ids would leave a comma too many; pieces hold one pre-token at least
     texts = F.array_join(F.transform("_all", lambda x: x["_ids"]), ",")
-    raw = F.aggregate(F.transform("_all", lambda x: x["_raw"]), F.lit(b""), lambda a, b: F.concat(a, b))
+    # bytes are joined as text, in one walk; the cast leaves them as they are
+    raw = F.array_join(F.transform("_all", lambda x: x["_raw"].cast("string")), "").cast("binary")
     rest = long.select("_row", F.col("_key").alias(key)).join(joined, "_row").select(key, "n_tokens", texts.alias("ids"), raw.alias("decoded"))
     return short.mapInArrow(whole, f"`{key}` {kind}, n_tokens long, ids string, decoded binary").unionByName(rest)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -201,6 +202,35 @@ def test_bpe_round_trip(docs, tokenizer, chunks):
         assert r["decoded_sha256"] == hashlib.sha256(raw.encode()).hexdigest()
 
 
+def _encoded_right(rows, text, code):
+    for r in rows:
+        raw = text[r["doc_id"]]
+        ids = code.encode_ordinary(raw)
+        assert (r["n_tokens"], r["ids"], r["decoded"]) == (len(ids), ",".join(map(str, ids)), bytearray(raw.encode())), r["doc_id"]
+
+
+def test_bpe_borders_of_random_texts(spark, tokenizer):
+    """Contractions, runs of spaces and long pre-tokens at every place of a cut, with and without common starts."""
+    rng, parts = random.Random(5), ["'ll", "'re", "'", " ", "  ", "\n", "a", "é", "1", "22", "!", "?!", "語", " word", "x" * 30, " " * 40]
+    text = {k: "".join(rng.choice(parts) for _ in range(rng.randrange(1, 160))) for k in range(300)}
+    docs = spark.createDataFrame(list(text.items()), "doc_id long, text string")
+    for chunks in (bpe.Chunks(64, 16), bpe.Chunks(48, 24), bpe.Chunks(20, 5)):
+        rows = bpe.encode(docs, tokenizer, chunks).collect()
+        assert len(rows) == len(text)
+        _encoded_right(rows, text, bpe.encoding(tokenizer))
+
+
+def test_bpe_long_text_with_pretokens_beyond_the_overlap(spark, tokenizer):
+    """A long text in which some borders have no common start, is still cut into many pieces."""
+    around = (PROSE + ". ") * 3_000
+    text = {1: around + "z" * 5_000 + around + " " * 70_000 + around + "=" * 40_000 + " end", 2: around * 2, 3: " " * 200_000}
+    docs = spark.createDataFrame(list(text.items()), "doc_id long, text string")
+    _encoded_right(bpe.encode(docs, tokenizer).collect(), text, bpe.encoding(tokenizer))
+    cut = bpe.pieces(docs.select(F.col("doc_id").alias("_row"), F.col("text").alias("_text")), tokenizer, bpe.Chunks())
+    sizes = {r["_row"]: (r["n"], r["most"]) for r in cut.groupBy("_row").agg(F.count("*").alias("n"), F.max(F.length("_piece")).alias("most")).collect()}
+    assert sizes[1][0] > 20 and sizes[1][1] < 150_000 and sizes[2][0] > 10 and sizes[3] == (1, 200_000)
+
+
 @pytest.mark.parametrize("block_ids", [3, 7, 1 << 20])
 def test_token_counts_across_blocks(docs, tokenizer, block_ids):
     code, text = bpe.encoding(tokenizer), dict(TEXTS)
