@@ -14,7 +14,8 @@ benchmark value must always stand for the same value of the same type.
 - all windows of the text, for occurrences with more put in between;
 - all windows that are equal as written, whatever the others say. These alone may have too few literal words.
 
-A number is digits with marks, or a number word; a name is a capitalised word inside a sentence; a unit is one of
+A number is digits with marks, or number words of the four languages of the corpus, compounds included ("twenty-five",
+"fünfundzwanzig"); a name is any capitalised word, at the start of a sentence too, but for ``STARTERS``; a unit is one of
 ``UNITS`` after a number. Words are compared lower-cased without ASCII punctuation.
 
 Null and empty texts or items match nothing; null keys match nothing. Rows that share a key are one document.
@@ -30,12 +31,30 @@ from pyspark.sql import functions as F
 
 from seatplan.llm import common
 
+# Words of the four languages.
 UNITS = (
-    "percent kg g mg kilograms grams pounds ounces tons km m cm mm miles mile kilometers kilometres meters metres feet foot inches "
-    "yards liters litres ml gallons cups seconds minutes minute hours hour days day weeks week months month years year "
-    "dollars dollar euros euro cents degrees mph"
+    "percent kg g mg kilogram kilograms gram grams pound pounds ounce ounces ton tons tonnes km m cm mm mile miles kilometers kilometres "
+    "meter meters metre metres foot feet inch inches yard yards liter liters litre litres ml gallon gallons cup cups second seconds "
+    "minute minutes hour hours day days week weeks month months year years cent cents dollar dollars euro euros degrees mph "
+    "kilos gramos metros kilómetros litros segundos minutos horas días semanas meses años pesos "
+    "grammes mètres kilomètres secondes heures jours semaines mois ans"
+)
+NUMBER_WORDS = (
+    "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen "
+    "dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis diecisiete dieciocho diecinueve "
+    "veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien ciento mil "
+    "deux trois quatre cinq sept huit neuf dix onze douze treize quatorze seize vingt trente quarante cinquante soixante cent mille "
+    "zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn "
+    "zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend"
+)
+STARTERS = (
+    "The An This That These Those If When While After Before How What Which Who Where Why There Then In On At For From With And But Or So "
+    "As It Its He She They We You His Her Their Each Every All Some Is Are Was Were Do Does Did Can Find Suppose Given Let "
+    "El La Los Las Un Una Si Cuando Cuánto Cuántos Cuántas Qué En De Por Para Con Es Hay Se Su Cada "
+    "Le Les Une Des Du Il Elle Ils Elles Quand Combien Que Dans Sur Avec Est Et "
+    "Der Die Das Ein Eine Einen Wenn Wie Was Welche Wer Wo Im Am Mit Und Er Sie Es Ist Jeder"
 )
-NUMBER_WORDS = "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million"
 #: Widths of the ranges of distances that count as one occurrence; each is laid twice, so that half a width is never cut.
 SPANS = (4, 16)
 _WHITE = "[\\x20\\x09-\\x0D]+"
@@ -50,12 +69,33 @@ class Settings:
     agree: float = 0.9
 
 
+def _any_of(words: str | list[str]) -> str:
+    """A pattern of the words, the longest first, that branches on the first letter."""
+    by_letter: dict[str, set[str]] = {}
+    for word in words.split() if isinstance(words, str) else words:
+        by_letter.setdefault(word[0], set()).add(word[1:])
+    return "(?:" + "|".join(f"{first}(?:{'|'.join(sorted(rest, key=lambda x: (-len(x), x)))})" for first, rest in by_letter.items()) + ")"
+
+
+def _number_pattern() -> str:
+    """Number words as written, or with a first capital; several that hyphens or German "und" join are one number."""
+    both = [x for word in NUMBER_WORDS.split() for x in (word, word[0].upper() + word[1:])]
+    digit, ten = "(?:[Ee]in|[Zz]wei|[Dd]rei|[Vv]ier|[Ff]ünf|[Ss]echs|[Ss]ieben|[Aa]cht|[Nn]eun)", "(?:zwanzig|dreißig|vierzig|fünfzig|sechzig|siebzig|achtzig|neunzig)"
+    word = f"(?:{digit}und{ten}|{_any_of(both)})(?!\\p{{L}})"
+    return f"(?<!\\p{{L}}){word}(?:-(?:et-)?{word})*"
+
+
+_NUMBER = _number_pattern()
+_NAME = f"(?<![\\p{{L}}\\p{{N}}])(?!{_any_of(STARTERS)}(?!\\p{{L}}))\\p{{Lu}}\\p{{Ll}}+(?:-?\\p{{Lu}}\\p{{Ll}}+)*"
+_UNIT = f"(?<=<num> ){_any_of(UNITS)}(?!\\p{{L}})"
+
+
 def _typed(text: Column) -> Column:
     """The text with placeholders; white space stays as it is, so words keep their places."""
-    text = F.regexp_replace(text, "(?<=[\\p{Ll},;] )\\p{Lu}\\p{Ll}+", "<name>")
+    text = F.regexp_replace(text, _NUMBER, "<num>")
+    text = F.regexp_replace(text, _NAME, "<name>")
     text = F.regexp_replace(text, "[$€£]?[0-9][0-9.,:]*[0-9a-z%]*", "<num>")
-    text = F.regexp_replace(text, f"(?<![\\p{{L}}])(?:{NUMBER_WORDS.replace(' ', '|')})(?![\\p{{L}}])", "<num>")
-    return F.regexp_replace(text, f"(?<=<num> )(?:{UNITS.replace(' ', '|')})(?![\\p{{L}}])", "<unit>")
+    return F.regexp_replace(text, _UNIT, "<unit>")
 
 
 def _split(text: Column) -> Column:

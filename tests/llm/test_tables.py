@@ -74,6 +74,31 @@ def test_templates_and_slots(spark):
     assert decontaminate.find(frame.limit(0), items).count() == decontaminate.find(frame, items.limit(0)).count() == 0
 
 
+def test_numbers_in_words_and_names_at_the_start(spark):
+    asked = [
+        (1, "A box holds thirteen red balls and the other box by the door holds seventy blue balls. How many more are blue?"),
+        (2, "Anna bought 4 pens. Ben bought 9 pens. They put all of the pens into one small box on the table."),
+        (3, "En la tienda hay quince manzanas verdes y veinte peras maduras. ¿Cuántas frutas hay en toda la tienda?"),
+        (4, "Im Garten stehen fünfundzwanzig alte bäume und zwölf kleine, davon sind neun krank. Wie viele sind noch gesund?"),
+        (5, "Dans le panier il y a soixante-dix pommes rouges et treize poires jaunes qui sont toutes bien mûres."),
+    ]
+    given = [
+        (1, "A box holds fourteen red balls and the other box by the door holds twenty-five blue balls. How many more are blue?"),
+        (2, "Carl bought 3 pens. Dora bought 8 pens. They put all of the pens into one small box on the table."),
+        (3, "En la tienda hay doce manzanas verdes y treinta peras maduras. ¿Cuántas frutas hay en toda la tienda?"),
+        (4, "Im Garten stehen achtzig alte bäume und elf kleine, davon sind vier krank. Wie viele sind noch gesund?"),
+        (5, "Dans le panier il y a vingt-et-une pommes rouges et onze poires jaunes qui sont toutes bien mûres."),
+        (6, "Thirteen red balls lay by the door of the old house. Anna and Ben came by and took seventy of them home for tea."),
+        (7, "En la plaza hay veinte perros y quince gatos que duermen al sol durante toda la tarde sin hacer nada más."),
+    ]
+    schema = "k long, text string"
+    docs, items = (spark.createDataFrame(rows, schema).withColumnRenamed("k", k) for rows, k in ((given, "doc_id"), (asked, "item_id")))
+    got = {(r["doc_id"], r["item_id"]): r["n_changed"] for r in decontaminate.find(docs, items).collect()}
+    assert set(got) == {(k, k) for k in (1, 2, 3, 4, 5)} and all(got.values())
+    words = [r[0] for r in spark.createDataFrame(asked, schema).orderBy("k").select(decontaminate.template(F.col("text"))).collect()]
+    assert words[1][:4] == ["<name>", "bought", "<num>", "pens"] and words[3][3] == "<num>" and words[4][6] == "<num>"
+
+
 def test_repeated_windows_and_several_variants(spark):
     items = spark.createDataFrame(
         [
