@@ -82,12 +82,14 @@ def _number_pattern() -> str:
     both = [x for word in NUMBER_WORDS.split() for x in (word, word[0].upper() + word[1:])]
     digit, ten = "(?:[Ee]in|[Zz]wei|[Dd]rei|[Vv]ier|[Ff]ünf|[Ss]echs|[Ss]ieben|[Aa]cht|[Nn]eun)", "(?:zwanzig|dreißig|vierzig|fünfzig|sechzig|siebzig|achtzig|neunzig)"
     word = f"(?:{digit}und{ten}|{_any_of(both)})(?!\\p{{L}})"
-    return f"(?<!\\p{{L}}){word}(?:-(?:et-)?{word})*"
+    first = "".join(sorted({x[0] for x in both}))
+    return f"(?=[{first}])(?<!\\p{{L}}){word}(?:-(?:et-)?{word})*"
 
 
+# patterns begin with what fails soonest at most places
 _NUMBER = _number_pattern()
-_NAME = f"(?<![\\p{{L}}\\p{{N}}])(?!{_any_of(STARTERS)}(?!\\p{{L}}))\\p{{Lu}}\\p{{Ll}}+(?:-?\\p{{Lu}}\\p{{Ll}}+)*"
-_UNIT = f"(?<=<num> ){_any_of(UNITS)}(?!\\p{{L}})"
+_NAME = f"(?=\\p{{Lu}}\\p{{Ll}})(?<![\\p{{L}}\\p{{N}}])(?!{_any_of(STARTERS)}(?!\\p{{L}}))\\p{{Lu}}\\p{{Ll}}+(?:-?\\p{{Lu}}\\p{{Ll}}+)*"
+_UNIT = f"<num> {_any_of(UNITS)}(?!\\p{{L}})"
 
 
 def _typed(text: Column) -> Column:
@@ -95,7 +97,7 @@ def _typed(text: Column) -> Column:
     text = F.regexp_replace(text, _NUMBER, "<num>")
     text = F.regexp_replace(text, _NAME, "<name>")
     text = F.regexp_replace(text, "[$€£]?[0-9][0-9.,:]*[0-9a-z%]*", "<num>")
-    return F.regexp_replace(text, _UNIT, "<unit>")
+    return F.regexp_replace(text, _UNIT, "<num> <unit>")
 
 
 def _split(text: Column) -> Column:
