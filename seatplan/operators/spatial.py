@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatplan.functions.geo import KM_PER_DEGREE, MINUTES_PER_KM, haversine_km, planar_degrees, point_in_ring
+from seatplan.functions.geo import KM_PER_DEGREE, MINUTES_PER_KM, crossings, haversine_km, planar_degrees, point_in_ring, ring_edges
 from seatplan.operators.scenario import CRITICAL_TIERS, LOWEST_TIER
 
 # Sites up to this number travel inside each task as one array (about 40 bytes each) and are
@@ -186,6 +186,36 @@ def inside(df: DataFrame, ring: str = "ring", lat: str = "latitude", lon: str =
     return df.withColumn(out, point_in_ring(F.col(lon), F.col(lat), F.col(ring)))
 
 
+def points_in_shapes(points: DataFrame, shapes: DataFrame, point_id: str, key: str, rings: str = "rings", *, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """(point_id, key) of every shape that a point lies in; shapes have holes and several parts, and may overlap.
+
+    Each shape is covered by square cells of a size of its own, a power of two between a quarter and half of its extent, so
+    by 25 cells at most. A cell holds only those edges that a ray from one of its points can cross, and cells without any are left out.
+    Points meet the cells of their place by an equi-join, once per size in use. Left and lower edges belong to a shape, right and upper ones do not: a point on
+    a border of two shapes is in one of them. Points without a finite coordinate lie in no shape.
+    """
+    edged = shapes.select(F.col(key), ring_edges(F.col(rings)).alias("_edges")).where(F.size("_edges") > 0)
+    both = lambda axis, pick: F.transform("_edges", lambda e: pick(e[f"a{axis}"], e[f"b{axis}"]))
+    ends = {f"_low{axis}": F.array_min(both(axis, F.least)) for axis in "xy"} | {f"_high{axis}": F.array_max(both(axis, F.greatest)) for axis in "xy"}
+    extent = F.greatest(F.col("_highx") - F.col("_lowx"), F.col("_highy") - F.col("_lowy"))
+    sized = edged.withColumns(ends).withColumn("_extent", extent).where((F.col("_extent") > 0) & (F.col("_extent") < math.inf))
+    sized = sized.withColumn("_level", F.ceil(F.log2("_extent")).cast("int") - 2)
+    side = F.pow(F.lit(2.0), F.col("_level"))
+    cell = lambda c: F.floor(c / side).cast("long")
+    covered = (
+        sized.withColumn("_cx", F.explode(F.sequence(cell(F.col("_lowx")), cell(F.col("_highx")))))
+        .withColumn("_cy", F.explode(F.sequence(cell(F.col("_lowy")), cell(F.col("_highy")))))
+    )
+    # a cell more to the left, for what rounding may add to a crossing
+    met = F.filter("_edges", lambda e: (F.greatest(e["ax"], e["bx"]) >= (F.col("_cx") - 1) * side)
+                   & (F.greatest(e["ay"], e["by"]) >= F.col("_cy") * side) & (F.least(e["ay"], e["by"]) <= (F.col("_cy") + 1) * side))
+    cover = covered.select(F.col(key), "_level", "_cx", "_cy", met.alias("_met")).where(F.size("_met") > 0)
+    levels = sized.agg(F.collect_set("_level")).scalar()
+    placed = _placed(points, lat, lon).select(point_id, F.col(lat).alias("_py"), F.col(lon).alias("_px"), F.explode(levels).alias("_level"))
+    placed = placed.withColumns({"_cx": cell(F.col("_px")), "_cy": cell(F.col("_py"))})
+    return placed.join(cover, ["_level", "_cx", "_cy"]).where(crossings(F.col("_px"), F.col("_py"), F.col("_met")) % 2 == 1).select(point_id, key)
+
+
 def boundary_join(features: DataFrame, index: DataFrame, clusters: DataFrame, key: str) -> DataFrame:
     """Shapes with their score and priority, matched on the join key."""
     return features.join(index, key).join(clusters, key)

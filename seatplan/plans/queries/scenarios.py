@@ -217,6 +217,36 @@ def _(spark, sf):
     return spatial.nearest_by_grid(_customer_points(spark, sf), sites, "c_custkey", "s_suppkey")
 
 
+@query(
+    "points_in_boundaries",
+    sql(
+        """SELECT s_suppkey, count(*) AS n, min(c_custkey) AS first_customer, max(c_custkey) AS last_customer
+        FROM (SELECT s.s_suppkey, c.c_custkey, c.longitude AS x, c.latitude AS y, s.longitude AS a, s.latitude AS b FROM sites s, points c)
+        WHERE (x >= a - 0.006e0 AND x < a + 0.006e0 AND y >= b - 0.006e0 AND y < b + 0.006e0
+               AND NOT (x >= a - 0.002e0 AND x < a + 0.002e0 AND y >= b - 0.002e0 AND y < b + 0.002e0))
+           OR (x >= a + 0.01e0 AND x < a + 0.013e0 AND y >= b + 0.01e0 AND y < b + 0.013e0)
+        GROUP BY s_suppkey""",
+        points=_POINTS, sites=_SUPPLIERS,
+    ),
+)
+def _(spark, sf):
+    """Customers within the area of each supplier: a square with a hole, and a smaller one apart, from a file of boundaries."""
+    n = F.col("s_suppkey")
+    lat, lon = F.lit(-7.35) + (n * 29 % 200) * F.lit(0.001), F.lit(112.6) + (n * 31 % 260) * F.lit(0.001)
+    around = lambda a, b: F.array(*[
+        F.array(lon + F.lit(x) if x >= 0 else lon - F.lit(-x), lat + F.lit(y) if y >= 0 else lat - F.lit(-y)) for x, y in ((a, a), (b, a), (b, b), (a, b), (a, a))
+    ])
+    feature = F.struct(
+        F.lit("Feature").alias("type"), F.struct("s_suppkey").alias("properties"),
+        F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(around(-0.006, 0.006), around(-0.002, 0.002)), F.array(around(0.01, 0.013))).alias("coordinates")).alias("geometry"),
+    )
+    path = work_path(spark, "areas")
+    table(spark, sf, "supplier").select(F.to_json(feature).alias("value")).write.text(path)
+    areas = readers.read_boundaries(spark, path, one_document_per_file=False, properties="s_suppkey: long")
+    held = spatial.points_in_shapes(_customer_points(spark, sf), areas, "c_custkey", "s_suppkey")
+    return held.groupBy("s_suppkey").agg(F.count("*").alias("n"), F.min("c_custkey").alias("first_customer"), F.max("c_custkey").alias("last_customer"))
+
+
 def _boundary_file(spark, sf) -> str:
     """A feature collection with a square around each district centre."""
     half = 0.004

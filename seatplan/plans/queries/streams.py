@@ -97,6 +97,18 @@ def _(spark, sf):
     return _landed(spark, kept, "stream-dedup").select("event_id", "event_type", "user_id")
 
 
+@query("stream_republish", "SELECT event_id, event_type, user_id, event_id % 3 AS landed_batch FROM events")
+def _(spark, sf):
+    """Three publishes, each of all rows known by then, in triggers of their own: a row lands with the first that holds it."""
+    root = work_path(spark, "stream-republish")
+    events = table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    for upto in range(3):
+        events.where(F.col("event_id") % 3 <= upto).write.mode("append").parquet(f"{root}/published")
+        stream = topics.read_growing(spark, f"{root}/published", "*.parquet", events.schema)
+        _finish(topics.land_new(stream, f"{root}/landed", f"{root}/checkpoint", ["event_id"], every=None))
+    return spark.read.parquet(f"{root}/landed").withColumn(topics.LANDED_BATCH, F.col(topics.LANDED_BATCH).cast("long"))
+
+
 @query("stream_dedup_batch", "SELECT event_id, event_type, user_id FROM events")
 def _(spark, sf):
     """The batch de-duplication that catches copies from beyond the stream's memory."""

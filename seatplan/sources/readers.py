@@ -95,6 +95,33 @@ GEOJSON_SCHEMA = (
 )
 
 
+SHAPE_SCHEMA = (
+    "type string, properties struct<kecamatan_norm: string, latitude: double, longitude: double>,"
+    "geometry struct<type: string, coordinates: string>"
+)
+_RING = "array<array<double>>"
+
+
+def read_boundaries(spark: SparkSession, path: str, *, one_document_per_file: bool = True, properties: str | None = None) -> DataFrame:
+    """One row per feature: properties and all ``rings``, holes and the parts of MultiPolygons alike.
+
+    A file is one feature collection, or (``one_document_per_file=False``) holds a feature per line and splits like any text.
+    ``properties`` names others to read, as DDL. Features without an area have no rings.
+    """
+    schema = SHAPE_SCHEMA if properties is None else f"type string, properties struct<{properties}>, geometry struct<type: string, coordinates: string>"
+    if one_document_per_file:
+        fields = spark.createDataFrame([], schema).schema
+        whole = T.StructType([T.StructField("features", T.ArrayType(fields))])
+        features = spark.read.schema(whole).option("multiLine", True).json(path).select(F.explode("features").alias("f")).select("f.*")
+    else:
+        features = spark.read.schema(schema).json(path)
+    kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
+    rings = F.when(kind == "Polygon", F.from_json(text, f"array<{_RING}>")).when(
+        kind == "MultiPolygon", F.flatten(F.from_json(text, f"array<array<{_RING}>>"))
+    )
+    return features.select("properties.*", F.coalesce(rings, F.array().cast(f"array<{_RING}>")).alias("rings"))
+
+
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     """One row per polygon feature: properties and the outer ring of ``[lon, lat]`` pairs."""
     return (

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from seatplan.operators.cleaning import one_per_grain
+
 # Topic pattern of the datasets and the flush interval.
 TOPIC_PATTERN = "sby-.*"
 FLUSH_EVERY = "300 seconds"
 MALFORMED = "_malformed"
+# Which trigger landed a row.
+LANDED_BATCH = "landed_batch"
 
 
 def read_topics(spark: SparkSession, servers: str, pattern: str = TOPIC_PATTERN) -> DataFrame:
@@ -75,11 +80,35 @@ def drop_republished(stream: DataFrame, grain: Sequence[str], arrived: str, with
 
     ``arrived`` is the time of arrival, which never runs late, so the watermark
     discards state but no rows. Copies that come after ``within`` are left to
-    the batch de-duplication on the grain.
+    ``land_new`` or to the batch de-duplication on the grain.
     """
     return stream.withWatermark(arrived, within).dropDuplicatesWithinWatermark(list(grain))
 
 
+def land_new(
+    stream: DataFrame, path: str, checkpoint: str, grain: Sequence[str], order: Sequence[str] = (), *, every: str | None = FLUSH_EVERY,
+) -> StreamingQuery:
+    """Lands a row only if no earlier trigger landed its grain, however long ago; within a trigger the last by ``order`` stays.
+
+    Each trigger has a folder of its own, which a repeated trigger replaces, so a restart neither loses nor doubles rows. What
+    landed before is read by its grain alone. A path belongs to one checkpoint. Equal null keys are one grain.
+    """
+    columns, grain = stream.columns, list(grain)
+    landed_as = T.StructType([*stream.schema.fields, T.StructField(LANDED_BATCH, T.LongType())])
+
+    def add(batch: DataFrame, number: int) -> None:
+        fresh = one_per_grain(batch, grain, list(order), keep="last")
+        if number > 0:
+            before = batch.sparkSession.read.schema(landed_as).parquet(path).where(F.col(LANDED_BATCH) < number).select(*grain)
+            known = before.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(grain)])
+            same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(grain)]
+            fresh = fresh.join(known, reduce(lambda a, b: a & b, same), "left_anti")
+        fresh.select(*[F.col(f"`{c}`") for c in columns]).write.mode("overwrite").parquet(f"{path}/{LANDED_BATCH}={number}")
+
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).outputMode("append")
+    return (writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)).start()
+
+
 def topic_counts(messages: DataFrame) -> DataFrame:
     return messages.groupBy("topic").agg(F.count("*").alias("messages"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from seatplan.functions.geo import haversine_km
 from seatplan.operators import scenario as sc
 from seatplan.operators import spatial
-from seatplan.sources.readers import read_geojson
+from seatplan.sources.readers import read_boundaries, read_geojson
 
 
 @pytest.mark.parametrize("unserved, schools, rooms, exact_schools", [
@@ -105,6 +105,27 @@ def test_haversine(frame):
     assert row["km"] == pytest.approx(math.pi * 6371.0088)
 
 
+def test_points_in_shapes_with_holes_and_parts(spark, tmp_path):
+    square = lambda a, b: [[a, a], [b, a], [b, b], [a, b], [a, a]]
+    tall = [[20, 0], [21, 0], [20.5, 300], [20, 0]]
+    shapes = [
+        ("hole", "Polygon", [square(0, 10), square(4, 6)]), ("parts", "MultiPolygon", [[square(-3, -1)], [square(10, 12)]]),
+        ("tall", "Polygon", [tall]), ("tiny", "Polygon", [square(5, 5.001)]), ("line", "Polygon", [[[1, 1], [1, 1]]]), ("other", "Point", [1, 1]),
+    ]
+    features = [{"type": "Feature", "properties": {"kecamatan_norm": k, "latitude": 0, "longitude": 0}, "geometry": {"type": t, "coordinates": c}} for k, t, c in shapes]
+    (tmp_path / "b.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
+    (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, features)))
+    spots = {1: (1, 1), 2: (5, 5), 3: (4, 5), 4: (6, 5), 5: (0, 5), 6: (10, 5), 7: (10, 11), 8: (-2, -2), 9: (20.5, 150), 10: (20.1, 290), 11: (5.0005, 5.0005), 12: (500, 0), 13: (5, 0), 14: (5, 10)}
+    points = [(k, float(y), float(x)) for k, (x, y) in spots.items()] + [(99, None, 1.0), (98, float("nan"), 1.0), (97, float("inf"), 1.0)]
+    frame = spark.createDataFrame(points, "id int, latitude double, longitude double")
+    wanted = {(1, "hole"), (2, "tiny"), (4, "hole"), (5, "hole"), (7, "parts"), (8, "parts"), (9, "tall"), (11, "tiny"), (13, "hole")}
+    for path, one in ((tmp_path / "b.geojson", True), (tmp_path / "lines.json", False)):
+        got = spatial.points_in_shapes(frame, read_boundaries(spark, str(path), one_document_per_file=one), "id", "kecamatan_norm").collect()
+        assert len(got) == len(wanted) and {(r["id"], r["kecamatan_norm"]) for r in got} == wanted
+    none = read_boundaries(spark, str(tmp_path / "b.geojson")).limit(0)
+    assert spatial.points_in_shapes(frame, none, "id", "kecamatan_norm").count() == 0
+
+
 def test_geojson_rings(spark, tmp_path):
     square = [[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]
     doc = {"type": "FeatureCollection", "features": [

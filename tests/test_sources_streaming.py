@@ -154,6 +154,26 @@ def test_republished_rows_arrive_once_across_runs(spark, tmp_path):
         assert sorted(r["id"] for r in got.collect()) == list(range(upto))
 
 
+def test_copies_beyond_any_watermark_land_once(spark, tmp_path):
+    source, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+
+    def publish(rows):
+        spark.createDataFrame(rows, "id long, `a b` string, at long").write.mode("append").parquet(source)
+        stream = topics.read_growing(spark, source, "*.parquet", spark.read.parquet(source).schema)
+        topics.land_new(stream, out, check, ["id", "a b"], ["at"], every=None).awaitTermination()
+        return sorted((r["id"] or 0, r["a b"] or "", r["at"], r[topics.LANDED_BATCH]) for r in spark.read.parquet(out).collect())
+
+    first = [(1, "x", 10, 0), (2, "", 12, 0)]
+    assert publish([(1, "x", 9), (1, "x", 10), (2, None, 11), (2, None, 12)]) == first
+    assert publish([(1, "x", 99), (2, None, 99), (2, "y", 5), (None, "z", 1)]) == [(0, "z", 1, 1), *first, (2, "y", 5, 1)]
+    assert publish([(1, "x", 100), (None, "z", 2)]) == [(0, "z", 1, 1), *first, (2, "y", 5, 1)]
+    # a trigger that failed half-way is repeated: its folder is replaced
+    stream = topics.read_growing(spark, source, "*.parquet", spark.read.parquet(source).schema)
+    topics.land_new(stream, str(tmp_path / "out2"), str(tmp_path / "check2"), ["id", "a b"], ["at"], every=None).awaitTermination()
+    topics.land_new(stream, str(tmp_path / "out2"), str(tmp_path / "check3"), ["id", "a b"], ["at"], every=None).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out2")).count() == 4
+
+
 def test_flush_interval_writes_only_when_something_came(spark, tmp_path):
     source, out, check = tmp_path / "in", tmp_path / "out", tmp_path / "check"
     spark.range(4).withColumn("topic", F.lit("x")).write.parquet(str(source))
