@@ -159,7 +159,7 @@ _EMBED = {"points": _POINTS, "dims": _DIMS, "centers": _CENTERS}
 
 @query("davies_bouldin_by_label", sql(_DB, **_EMBED, shape=_SHAPE))
 def _(spark, sf):
-    return cl.davies_bouldin(table(spark, sf, "embeddings"), "embedding", "label")
+    return cl.davies_bouldin(table(spark, sf, "embeddings"), "embedding", "label", alone=None)
 
 
 # pairwise on purpose: the SQL side takes the definition, the Spark side the closed form
@@ -259,5 +259,5 @@ def evaluation_metrics(spark, sf):
     return ev.metric_table(
         ev.mean_error(ape_detail(spark, sf)),
         cl.silhouette_score(rows, "x", "priority_rank", known=len(CENTROIDS)).withColumn("silhouette", F.round("silhouette", 4)),
-        cl.davies_bouldin(rows, "x", "priority_rank", known=len(CENTROIDS)),
+        cl.davies_bouldin(rows, "x", "priority_rank", known=len(CENTROIDS), alone=None),
     ).drop("meaning")

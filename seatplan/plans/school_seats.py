@@ -289,7 +289,7 @@ class SeatPlan:
         metrics = evaluation.metric_table(
             evaluation.mean_error(self.read("gold", "mape_detail")),
             clusters.silhouette_score(settled, "x", "cluster_id", known=k).withColumn("silhouette", F.round("silhouette", 4)),
-            clusters.davies_bouldin(settled, "x", "cluster_id", known=k),
+            clusters.davies_bouldin(settled, "x", "cluster_id", known=k, alone=None),
         )
         self._write_gold(_publish(metrics, METRIC_COLUMNS), "gold_evaluation_metrics", "_generated_at")
         return done

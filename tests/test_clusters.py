@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from seatplan.operators import clusters as cl
+from seatplan.operators import evaluation as ev
 
 
 def points(seed=3, n=60, k=4, dims=3):
@@ -80,6 +81,12 @@ def test_davies_bouldin(frame, labelled):
     assert cl.davies_bouldin(alone, "x", "label").first()[0] == 0.0
 
 
+def test_one_cluster_is_not_called_good(frame):
+    one = cl.davies_bouldin(frame([(1, [0.0, 0.0], 1), (2, [2.0, 0.0], 1)], "id int, x array<double>, label int"), "x", "label", alone=None)
+    row = ev.metric_table(davies_bouldin=one).first()
+    assert (row["value"], row["status"]) == (None, ev.WEAK)
+
+
 def test_minmax_and_missing(frame):
     df = frame([(1, 0.0, 5.0), (2, 10.0, 5.0), (3, None, 5.0)], "id int, a double, c double")
     got = as_dicts(cl.minmax_columns(df, ["a", "c"]), "id")
