@@ -243,8 +243,8 @@ def _(spark, sf):
     path = work_path(spark, "areas")
     table(spark, sf, "supplier").select(F.to_json(feature).alias("value")).write.text(path)
     areas = readers.read_boundaries(spark, path, one_document_per_file=False, properties="s_suppkey: long")
-    held = spatial.points_in_shapes(_customer_points(spark, sf), areas, "c_custkey", "s_suppkey")
-    return held.groupBy("s_suppkey").agg(F.count("*").alias("n"), F.min("c_custkey").alias("first_customer"), F.max("c_custkey").alias("last_customer"))
+    measures = F.count("*").alias("n"), F.min("c_custkey").alias("first_customer"), F.max("c_custkey").alias("last_customer")
+    return spatial.per_shape(_customer_points(spark, sf), areas, "c_custkey", "s_suppkey", *measures)
 
 
 def _boundary_file(spark, sf) -> str:

@@ -88,6 +88,25 @@ def test_nearest_site_both_ways(frame, points, sites):
     assert {r["p"]: r["s"] for r in spatial.nearest_by_grid(p, s, "p", "s").collect()} == want
 
 
+def test_a_point_meets_no_more_sites_than_may_be_nearest(spark):
+    """Points of a cell meet lists of their cell: no row per point and site, and nothing sorted before it is dealt."""
+    pts = spark.range(300).select("id", (F.rand(1) * 3).alias("latitude"), (F.rand(2) * 3).alias("longitude"))
+    text = spatial.nearest_by_grid(pts, pts.withColumnRenamed("id", "s"), "id", "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_min" in text and "RepartitionByExpression [id" in text
+
+
+def test_copies_of_a_shape_are_measured_once(frame):
+    square = lambda a, b: [[float(x), float(y)] for x, y in ((a, a), (b, a), (b, b), (a, b), (a, a))]
+    areas = frame([(i, [square(0, 2)]) for i in range(40)] + [(99, [square(1, 3)]), (98, [square(8, 9)])], "k int, rings array<array<array<double>>>")
+    spots = frame([(1, 0.5, 0.5), (2, 1.5, 1.5), (3, 2.5, 2.5), (4, 7.0, 7.0)], "p int, latitude double, longitude double")
+    got = spatial.per_shape(spots, areas, "p", "k", F.count("*").alias("n"), F.min("p").alias("first"), F.max("p").alias("last"))
+    assert {(r["k"], r["n"], r["first"], r["last"]) for r in got.collect()} == {(i, 2, 1, 2) for i in range(40)} | {(99, 2, 2, 3)}
+    held = spatial.points_in_shapes(spots, areas, "p", "k")
+    assert {(r["p"], r["k"]) for r in held.collect()} == {(p, i) for p in (1, 2) for i in range(40)} | {(2, 99), (3, 99)}
+    by_form = spatial._points_in_forms(spots, spatial._formed(areas, "rings"), "p", "rings", "latitude", "longitude")
+    assert by_form.count() == 4
+
+
 def test_nearest_safe(frame):
     rows = [("A", "Kritis", 0.0, 0.0), ("B", "Aman", 0.0, 1.0), ("C", "Aman", 0.0, -1.0), ("D", "Waspada", 0.0, 0.1)]
     df = frame(rows, "k string, tier string, latitude double, longitude double")
