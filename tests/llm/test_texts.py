@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,6 +184,37 @@ def test_context_mixing_code_is_complete(docs):
     assert (10 ** model.log10(data, offsets, np.full(len(words), 10, dtype=np.uint8))).sum() <= 1 + 1e-9
 
 
+def test_context_mixing_learns_from_all_tokens(spark):
+    """Of more tokens than were drawn once, all are in the map, and no other weights make them likelier."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(4)
+    vocabulary = ["".join(rnd.choice(("ba", "lo", "mi", "ter", "con", "dis")) for _ in range(rnd.randint(1, 6))) for _ in range(5_000)]
+    docs = spark.createDataFrame([(k, " ".join(rnd.choices(vocabulary, k=1_000))) for k in range(250)], "doc_id long, text string")
+    s, model = context_mixing.Settings(), context_mixing.fit(docs).model
+    counted = pa.Table.from_batches(context_mixing.count(docs, s).toArrow().to_batches()).combine_chunks().to_batches()[0]
+    assert pa.compute.sum(counted["n"]).as_py() == 250 * 1_001
+    edges = context_mixing.first_slots(s.bits)
+    both, found = np.zeros(2 * edges[-1], dtype=np.float32), context_mixing.bits_of(*context_mixing._columns(counted), model.code, s.bits, model.begun)
+    n = found.spread(counted["n"].to_numpy().astype(float))
+    for k, slot in enumerate(found.slots):
+        np.add.at(both, 2 * (slot + edges[k]) + found.bit, n if k < context_mixing.PREDICTORS - 1 else n * found.begun)
+    known = context_mixing.without_own(model.code, model.begun, both[::2], both[1::2], s.bits)
+    total = np.zeros(context_mixing._EDGES[-1])
+    context_mixing.learned(known, model.weights, None, counted, total)
+    slopes, likely, cell, _ = np.split(total, context_mixing._EDGES[:-1])
+    assert math.isclose(cell.sum(), n.sum())
+    cell = cell.reshape(model.costs.shape)
+    many = cell.sum(axis=-1) > 1_000
+    assert many.any() and np.allclose(10 ** model.costs[..., 1][many], (cell[..., 1] / np.maximum(cell.sum(axis=-1), 1))[many], atol=0.01)
+    better = context_mixing.stepped(model.weights, np.tile(np.array(s.start), (context_mixing.GATES, 1)), slopes)
+    again = np.zeros_like(total)
+    context_mixing.learned(known, better, None, counted, again)
+    assert again[context_mixing._EDGES[0] : context_mixing._EDGES[1]].sum() <= likely.sum() * (1 - 1e-3)
+    assert 0 < model.trust < 1
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     public = pytest.importorskip("public_tokenizers")
