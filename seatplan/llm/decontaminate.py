@@ -258,6 +258,7 @@ def find(docs: DataFrame, items: DataFrame, settings: Settings | None = None, ke
 
 def clean(docs: DataFrame, items: DataFrame, settings: Settings | None = None, key: str = "doc_id", item: str = "item_id") -> DataFrame:
     """The documents that hold no item, as they are, whatever their columns are called."""
-    held = find(docs, items, settings, key, item).select(F.col("doc_id").alias("_held")).distinct()
+    # written, so that Spark knows how few they are before it moves the texts to meet them
+    held = common.written(find(docs, items, settings, key, item).select(F.col("doc_id").alias("_held")).distinct(), "leaks")
     rows = docs.select(F.struct("*").alias("_doc"), F.col(key).alias("_key"))
     return rows.join(held, F.col("_key") == F.col("_held"), "left_anti").select("_doc.*")

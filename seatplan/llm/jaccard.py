@@ -480,7 +480,10 @@ def one_of_each(docs: DataFrame, settings: Settings | None = None, key: str = "d
 
     Of several rows under that key, one of each different text stays, so that none is lost; rows are carried as they are.
     """
-    groups = join(docs, settings, key, count_links=False).filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
+    found = join(docs, settings, key, count_links=False).filter(F.col(key).isNotNull())
+    keys = found.groupBy(F.col(key).alias("_marked")).agg(F.max(F.col(key) == F.col("component_id")).alias("_kept"), F.count("*").alias("_rows"))
+    # of most keys there is nothing to say, so texts need not move: the others are written, and Spark sees how few they are
+    marked = common.written(keys.filter("not _kept or _rows > 1").select("_marked", "_kept"), "marked-keys")
     rows = docs.select(F.struct("*").alias("_doc"), F.col(key).alias("_key"), F.xxhash64("text").alias("_same"))
-    kept = rows.join(groups, F.col("_key") == F.col("_kept"), "left_semi").dropDuplicates(["_key", "_same"])
-    return kept.unionByName(rows.filter(F.col("_key").isNull())).select("_doc.*")
+    several = rows.join(marked.filter("_kept"), F.col("_key") == F.col("_marked"), "left_semi").dropDuplicates(["_key", "_same"])
+    return rows.join(marked, F.col("_key") == F.col("_marked"), "left_anti").unionByName(several).select("_doc.*")

@@ -60,3 +60,11 @@ def test_stages_on_no_rows(spark, made):
     none = queries.table(spark, made, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, made).collect() == []
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.distinct_documents, corpus_pipeline.without_leaks])
+def test_texts_do_not_move_to_be_kept(spark, made, stage):
+    """What is dropped is few keys: no row of the documents is dealt out to be compared with them."""
+    docs = queries.table(spark, made, "documents")
+    plan = stage(spark, docs, made)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
