@@ -38,10 +38,12 @@ from pyspark.sql import functions as F
 
 from seatplan.llm import common
 from seatplan.llm.components import components
-from seatplan.llm.words import LOWER, Block, Lookup, U, blocks, hashes, mix, windows, words
+from seatplan.llm.words import LOWER, Block, Lookup, U, blocks, hashes, mix, tallied, windows, words
 
 #: Bits of a hash that the count keeps, and of the bitmap of hashes that occur twice (16 MB).
 KEPT_BITS, MAP_BITS = 40, 27
+#: Hashes that a task holds at once (32 MB).
+RUN = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -105,38 +107,36 @@ class Spread:
         return level
 
 
+def packed_run(held: np.ndarray, ranges: int, shift: int) -> pa.RecordBatch:
+    """The distinct hashes of each range and how often each is there; ``held`` is sorted in place and counted range by range."""
+    held.sort()
+    edge = np.searchsorted(held, np.arange(ranges + 1, dtype=np.uint64) << U(shift))
+    full, grams, counts = np.flatnonzero(np.diff(edge)), [], []
+    for r in full:
+        each, n = tallied(held[edge[r] : edge[r + 1]])
+        grams.append(_pack(np.diff(each, prepend=U(0))))
+        counts.append(_pack(n.astype(np.uint32)))
+    return pa.record_batch([pa.array(full.astype(np.int32)), pa.array(grams, pa.binary()), pa.array(counts, pa.binary())], names=["range", "grams", "counts"])
+
+
 def spread(docs: DataFrame, s: Settings) -> Spread:
     spark = docs.sparkSession
     ranges = 1 << max(6, min(14, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
     shift = KEPT_BITS - ranges.bit_length() + 1
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-
-        def flush() -> pa.RecordBatch:
-            grams, count = np.unique(np.concatenate(held) if held else np.zeros(0, dtype=np.uint64), return_counts=True)
-            edge = np.searchsorted(grams, np.arange(ranges + 1, dtype=np.uint64) << U(shift))
-            full = np.flatnonzero(np.diff(edge))
-            parts = [(grams[edge[r] : edge[r + 1]], count[edge[r] : edge[r + 1]]) for r in full]
-            return pa.record_batch(
-                [
-                    pa.array(full.astype(np.int32)),
-                    pa.array([_pack(np.diff(g, prepend=U(0))) for g, _ in parts], pa.binary()),
-                    pa.array([_pack(c.astype(np.uint32)) for _, c in parts], pa.binary()),
-                ],
-                names=["range", "grams", "counts"],
-            )
-
+        held, n = np.empty(RUN, dtype=np.uint64), 0
         for batch in batches:
             for block in blocks(batch.column("_text")):
                 for one in sets(block, s.size):
-                    held.append(one >> U(64 - KEPT_BITS))
+                    while n + len(one) >= RUN:
+                        held[n:], one = one[: RUN - n] >> U(64 - KEPT_BITS), one[RUN - n :]
+                        yield packed_run(held, ranges, shift)
+                        n = 0
+                    held[n : n + len(one)] = one >> U(64 - KEPT_BITS)
                     n += len(one)
-                if n > 1 << 22:
-                    yield flush()
-                    held, n = [], 0
         if n:
-            yield flush()
+            yield packed_run(held[:n], ranges, shift)
 
     def merge(group: pa.Table) -> pa.Table:
         grams = np.concatenate([np.cumsum(_unpack(x, np.uint64), dtype=np.uint64) for x in group["grams"].to_pylist()])

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatplan.llm import common
-from seatplan.llm.words import LOWER, WHITE, Block, Lookup, U, blocks, cut, hashes, mix, windows, words
+from seatplan.llm.words import LOWER, WHITE, Block, Lookup, U, blocks, cut, hashes, mix, tallied, windows, words
 
 ORDER = 4
 MARKS = np.zeros(256, dtype=bool)
@@ -62,12 +62,15 @@ def normal(block: Block) -> tuple[np.ndarray, np.ndarray]:
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The 4-gram that ends at each byte, packed; what lies before a row is spaces."""
     key = data.astype(np.uint32)
-    place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
+    place = np.arange(len(data), dtype=np.uint32)
+    place -= np.repeat(offsets[:-1].astype(np.uint32), np.diff(offsets))
+    before = np.empty(len(data), dtype=np.uint32)
     for back in range(1, ORDER):
-        before = np.full(len(data), 32, dtype=np.uint32)
+        before[:back] = 32
         before[back:] = data[:-back]
         before[place < back] = 32
-        key |= before << np.uint32(8 * back)
+        before <<= np.uint32(8 * back)
+        key |= before
     return key
 
 
@@ -100,7 +103,7 @@ def count(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
         for batch in batches:
             codes = batch.column("_code").to_numpy().astype(np.uint64)
             for block in blocks(batch.column("_text"), 1 << 23):
-                key, n = np.unique(keys_of(block, codes)[0], return_counts=True)
+                key, n = tallied(keys_of(block, codes)[0])
                 yield pa.record_batch([pa.array(key.astype(np.int64)), pa.array(n)], names=["key", "n"])
 
     counted = docs.select(F.col(text).alias("_text"), _code(lang).alias("_code")).mapInArrow(run, "key long, n long")
@@ -111,7 +114,11 @@ def keys_of(block: Block, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all 4-grams of a block, in order, and the number of each row."""
     data, offsets = normal(block)
     size = np.diff(offsets)
-    return grams(data, offsets).astype(np.uint64) | (np.repeat(codes[block.first : block.first + block.rows], size) << U(32)), size
+    # in place, for keys are eight times as large as the texts
+    found = grams(data, offsets)
+    keys = np.repeat(codes[block.first : block.first + block.rows] << U(32), size)
+    keys |= found
+    return keys, size
 
 
 def _discounts(level: DataFrame) -> DataFrame:

@@ -6,14 +6,17 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
-from seatplan.llm import bpe, common, compression, context_mixing, jaccard, perplexity, token_counts, toxicity
+from seatplan.llm import bpe, common, compression, context_mixing, jaccard, perplexity, token_counts, toxicity, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -342,3 +345,33 @@ def test_scores_of_odd_texts(docs, marked):
     weights, settings = toxicity.fit(*marked, F.lit(True))
     rows = toxicity.score(docs, weights, settings).collect() + compression.score(docs, compression.fit(*marked, F.lit(True))).collect()
     assert len(rows) == 2 * (len(TEXTS) + 1) and all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_counting_holds_little_beside_the_texts():
+    """Executors pay for each task's working set: 4-grams are made and counted without copies of copies, and so are n-grams."""
+    texts = [("%d " % (i * 7919)) * 200 for i in range(1_000)]
+    block = next(words.blocks(pa.array(texts), 1 << 23))
+    codes = np.arange(len(texts), dtype=np.uint64)
+    tracemalloc.start()
+    keys, size = perplexity.keys_of(block, codes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert size.sum() == len(keys) and peak < 19 * len(keys)
+    wanted = np.unique(keys, return_counts=True)
+    assert all((a == b).all() for a, b in zip(words.tallied(keys), wanted, strict=True))
+
+
+def test_packed_runs_hold_every_hash():
+    ranges, shift = 64, jaccard.KEPT_BITS - 6
+    held = np.random.default_rng(1).integers(0, 1 << jaccard.KEPT_BITS, 200_000, dtype=np.uint64)
+    held[::3] = held[0]
+    wanted = np.unique(held, return_counts=True)
+    tracemalloc.start()
+    run = jaccard.packed_run(held, ranges, shift)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * held.nbytes
+    found = [np.cumsum(jaccard._unpack(x, np.uint64), dtype=np.uint64) for x in run["grams"].to_pylist()]
+    assert (np.concatenate(found) == wanted[0]).all()
+    assert (np.concatenate([jaccard._unpack(x, np.uint32) for x in run["counts"].to_pylist()]) == wanted[1]).all()
+    assert all((x >> np.uint64(shift) == r).all() for r, x in zip(run["range"].to_pylist(), found, strict=True))
