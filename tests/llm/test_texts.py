@@ -375,3 +375,26 @@ def test_packed_runs_hold_every_hash():
     assert (np.concatenate(found) == wanted[0]).all()
     assert (np.concatenate([jaccard._unpack(x, np.uint32) for x in run["counts"].to_pylist()]) == wanted[1]).all()
     assert all((x >> np.uint64(shift) == r).all() for r, x in zip(run["range"].to_pylist(), found, strict=True))
+
+
+def test_frequent_entries_are_predicted_once_for_all_tasks(spark):
+    docs = spark.createDataFrame([(i, f"{PROSE} {i} w{i % 7}") for i in range(60)], "doc_id long, text string")
+    found = {}
+    for shared in (0, 40, 1 << 21):
+        trained = context_mixing.fit(docs, context_mixing.Settings(shared=shared))
+        keys, costs = trained.frequent
+        assert len(keys) == len(set(keys)) <= shared
+        assert len(keys) == len(costs) > (-1 if not shared else 20)
+        found[shared] = {r.doc_id: r.score for r in context_mixing.score(docs, trained, context_mixing.Settings(shared=shared)).collect()}
+    assert found[0] == pytest.approx(found[40], rel=1e-9) and found[0] == pytest.approx(found[1 << 21], rel=1e-9)
+
+    class Asked:
+        def log10(self, data, offsets, before):
+            return np.full(len(before), -float(len(data)))
+
+    known = np.arange(1, 6, dtype=np.uint64) << np.uint64(58)
+    memory = context_mixing.Costs(Asked(), 10, words.Lookup(known), np.arange(5.0))
+    keys = np.append(known[[3, 1]], np.uint64(7))
+    data, offsets, before = np.frombuffer(b"abcde", dtype=np.uint8), np.array([0, 1, 3, 5]), np.zeros(3, dtype=np.uint8)
+    assert list(memory(keys, data, offsets, before)) == [3, 1, -2] == list(memory(keys, data, offsets, before))
+    assert list(memory.keys) == [7]
