@@ -235,7 +235,9 @@ def signatures(docs: DataFrame, known: Spread, s: Settings, key: str = "doc_id")
     signed = docs.select(F.col(key).alias("_key"), F.col("text").alias("_text")).mapInArrow(
         run, f"_key {kind}, n long, f1 long, f2 long, grams array<long>, places array<int>, set binary"
     )
-    return common.written(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    signed = common.written(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    shared.destroy()
+    return signed
 
 
 def passes(s: Settings):
@@ -341,14 +343,14 @@ def groups(links: DataFrame, near: DataFrame, whole: DataFrame, s: Settings) ->
 
 def centred(found: DataFrame, sizes: DataFrame) -> DataFrame:
     """Adds ``size`` of the star, after what more than half of its group lose or gain has been moved into it."""
-    many = found.groupBy("k").agg(F.count("*").alias("_m"))
+    many = common.written(found.groupBy("k").agg(F.count("*").alias("_m")), "group-sizes")
     moves = []
     for side in ("lost", "gained"):
         counted = found.select("k", F.explode(side).alias("_e")).groupBy("k", "_e").agg(F.count("*").alias("_n")).join(many, "k")
-        moves.append(counted.filter("2 * _n > _m").groupBy("k").agg(F.collect_list("_e").alias(f"_{side}")))
+        moves.append(common.written(counted.filter("2 * _n > _m").groupBy("k").agg(F.collect_list("_e").alias(f"_{side}")), "moves"))
     none = F.array().cast("array<long>")
     stars = sizes.join(many.select("k"), sizes["c"] == many["k"]).select("k", "n").join(moves[0], "k", "left").join(moves[1], "k", "left")
-    stars = stars.select("k", "n", F.coalesce("_lost", none).alias("_lost"), F.coalesce("_gained", none).alias("_gained"))
+    stars = common.written(stars.select("k", "n", F.coalesce("_lost", none).alias("_lost"), F.coalesce("_gained", none).alias("_gained")), "moved-stars")
     moved = lambda mine, out, other, into: F.concat(F.array_except(mine, out), F.array_except(into, other))
     return found.join(stars, "k").select(
         "k", "c", (F.col("n") - F.size("_lost") + F.size("_gained")).alias("size"),
@@ -362,13 +364,13 @@ def within(members: DataFrame, s: Settings) -> DataFrame:
     measured = members.select("k", "c", "w", F.concat("lost", "gained").alias("_own"), away.alias("u"), ((100 - s.percent) * F.col("size")).cast("long").alias("room"))
     measured = common.written(measured, "measured")
     # pairs that need no common difference: a running sum over the differences' weights
-    totals = measured.groupBy("k", "u", "room").agg(F.sum("w").alias("w"))
+    totals = common.written(measured.groupBy("k", "u", "room").agg(F.sum("w").alias("w")), "totals")
     points = totals.select("k", F.col("u").alias("at"), F.lit(0).alias("kind"), "w", "u")
     asked = totals.select("k", (F.col("room") - F.col("u")).alias("at"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("w"), "u")
     run = Window.partitionBy("k").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = points.unionByName(asked).withColumn("_sum", F.sum("w").over(run)).filter("kind = 1").select("k", "u", "_sum")
     sure = measured.join(sums, ["k", "u"]).select("c", (F.col("_sum") - F.when(F.expr("2 * u <= room"), F.col("w")).otherwise(0)).alias("more"))
-    return sure.unionByName(far_links(measured, s))
+    return common.written(sure, "sure-links").unionByName(common.written(far_links(measured, s), "far-links"))
 
 
 def far_links(measured: DataFrame, s: Settings) -> DataFrame:
@@ -383,7 +385,7 @@ def far_links(measured: DataFrame, s: Settings) -> DataFrame:
         F.ceil(F.sum(F.when(heavy, weight).otherwise(0)) / s.block_differences).cast("int").alias("_i"),
         F.ceil(F.sum(weight) / (4 * s.block_differences)).cast("int").alias("_j"),
     ).filter("_i > 0")
-    placed = measured.join(blocks_of, "k")
+    placed = measured.join(common.written(blocks_of, "far-blocks"), "k")
     own = F.pmod(F.xxhash64("c"), F.col("_i")).cast("int"), F.pmod(F.xxhash64("c", F.lit(1)), F.col("_j")).cast("int")
     many = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     columns = ["k", "i", "j", "c", "w", "u", "room", "_own", "far"]
@@ -467,9 +469,10 @@ def join(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id",
         inner = within(centred(found, members.select("c", "n")).join(own, "c"), s)
         a, b = (label.select(F.col("c").alias(x), F.col("k").alias(f"_{x}")) for x in "ab")
         outer = every.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct().join(a, "a", "left").join(b, "b", "left")
-        outer = outer.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+        outer = common.written(outer.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b"), "outer-links")
         ways = outer.unionByName(outer.selectExpr("b as a", "a as b")).join(own.withColumnRenamed("c", "b"), "b").select(F.col("a").alias("c"), F.col("w").alias("more"))
-        counted = inner.unionByName(ways).groupBy("c").agg(F.sum("more").alias("_more"))
+        # the steps are tables of their own: one plan of them all takes the driver's memory, however few the rows
+        counted = common.written(inner.unionByName(ways).groupBy("c").agg(F.sum("more").alias("_more")), "link-counts")
         by_set = by_set.join(own, "c").join(counted, "c", "left").withColumn("_links", F.col("w") - 1 + F.coalesce("_more", F.lit(0)))
         columns.append(F.when(F.col("_key").isNotNull(), F.coalesce("_links", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long")).alias("n_links"))
     return signed.select("_key", "n", "f1", "f2").join(by_set, ["n", "f1", "f2"], "left").select(*columns)

@@ -83,3 +83,12 @@ def test_one_of_each_carries_rows(spark):
     assert kept.columns == docs.columns
     assert sorted((str(r["doc_id"]), (r["text"] or "")[:11]) for r in kept.collect()) == sorted([("1", texts[0][:11]), ("1", "quite anoth"), ("None", texts[0][:11]), ("50", "")])
     assert jaccard.one_of_each(docs.limit(0)).collect() == []
+
+
+def test_no_plan_holds_all_steps(spark, capsys):
+    """The driver pays for a plan's size, however few its rows: what is returned reads written steps and joins them, no more."""
+    rows = [(i, " ".join(str(w if w != i else -i) for w in range(40))) for i in range(60)]
+    found = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") < 10 and "MapInArrow" not in plan and "InArrow" not in plan
