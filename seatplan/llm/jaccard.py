@@ -44,6 +44,8 @@ from seatplan.llm.words import LOWER, Block, Lookup, U, blocks, hashes, mix, tal
 KEPT_BITS, MAP_BITS = 40, 27
 #: Hashes that a task holds at once (32 MB).
 RUN = 1 << 22
+#: Hashes of a run that leave at a time, or those of one range.
+SENT = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -119,6 +121,15 @@ def packed_run(held: np.ndarray, ranges: int, shift: int) -> pa.RecordBatch:
     return pa.record_batch([pa.array(full.astype(np.int32)), pa.array(grams, pa.binary()), pa.array(counts, pa.binary())], names=["range", "grams", "counts"])
 
 
+def packed_runs(held: np.ndarray, ranges: int, shift: int) -> Iterator[pa.RecordBatch]:
+    """``packed_run`` of all hashes, some whole ranges at a time: neither the task nor what reads it holds a packed run at once."""
+    held.sort()
+    edge = np.searchsorted(held, np.arange(ranges + 1, dtype=np.uint64) << U(shift))
+    at = np.unique(np.append(edge[np.searchsorted(edge, np.arange(0, len(held), SENT))], len(held)))
+    for a, b in zip(at[:-1], at[1:], strict=True):
+        yield packed_run(held[a:b], ranges, shift)
+
+
 def spread(docs: DataFrame, s: Settings) -> Spread:
     spark = docs.sparkSession
     ranges = 1 << max(6, min(14, (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
@@ -131,12 +142,12 @@ def spread(docs: DataFrame, s: Settings) -> Spread:
                 for one in sets(block, s.size):
                     while n + len(one) >= RUN:
                         held[n:], one = one[: RUN - n] >> U(64 - KEPT_BITS), one[RUN - n :]
-                        yield packed_run(held, ranges, shift)
+                        yield from packed_runs(held, ranges, shift)
                         n = 0
                     held[n : n + len(one)] = one >> U(64 - KEPT_BITS)
                     n += len(one)
         if n:
-            yield packed_run(held[:n], ranges, shift)
+            yield from packed_runs(held[:n], ranges, shift)
 
     def merge(group: pa.Table) -> pa.Table:
         grams = np.concatenate([np.cumsum(_unpack(x, np.uint64), dtype=np.uint64) for x in group["grams"].to_pylist()])

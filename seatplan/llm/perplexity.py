@@ -74,6 +74,8 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return key
 
 
+#: Bytes that are measured at once; what is held of each is some 60 times as large.
+MEASURED = 1 << 18
 LANGUAGE = 1 << 32
 
 
@@ -96,15 +98,37 @@ def _context() -> Column:
     return F.expr(f"(key div {LANGUAGE}) * {LANGUAGE} + shiftright(key & {LANGUAGE - 1}, 8)")
 
 
+#: Counts of blocks that a task holds before it adds them up, and sends on at a time.
+HELD, SENT = 1 << 19, 1 << 16
+
+
+def merged(tallies: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """The counts of some blocks added up, in small batches."""
+    if not tallies:
+        return
+    key, n = (np.concatenate(x) for x in zip(*tallies, strict=True))
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
+    key, n = key[first].astype(np.int64), np.add.reduceat(n, first) if len(first) else n
+    for at in range(0, len(key), SENT):
+        yield pa.record_batch([pa.array(key[at : at + SENT]), pa.array(n[at : at + SENT])], names=["key", "n"])
+
+
 def count(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``(key, n)`` over all texts: a language and a 4-gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
         for batch in batches:
             codes = batch.column("_code").to_numpy().astype(np.uint64)
-            for block in blocks(batch.column("_text"), 1 << 23):
-                key, n = tallied(keys_of(block, codes)[0])
-                yield pa.record_batch([pa.array(key.astype(np.int64)), pa.array(n)], names=["key", "n"])
+            for block in blocks(batch.column("_text")):
+                held.append(tallied(keys_of(block, codes)[0]))
+                total += len(held[-1][0])
+                if total >= HELD:
+                    yield from merged(held)
+                    held, total = [], 0
+        yield from merged(held)
 
     counted = docs.select(F.col(text).alias("_text"), _code(lang).alias("_code")).mapInArrow(run, "key long, n long")
     return counted.groupBy("key").agg(F.sum("n").alias("n"))
@@ -252,7 +276,7 @@ def measure(docs: DataFrame, model: Model, settings: Settings, keep: tuple[str,
     def measured(texts: pa.Array, code: pa.Array) -> pa.Array:
         m, out, sizes, totals, rare, times = shared.value, [], [], [], [], []
         codes = code.to_numpy().astype(np.uint64)
-        for block in blocks(texts):
+        for block in blocks(texts, MEASURED):
             out.append(counts(block))
             keys, size = keys_of(block, codes)
             row = np.repeat(np.arange(block.rows), size)
@@ -276,6 +300,7 @@ def measure(docs: DataFrame, model: Model, settings: Settings, keep: tuple[str,
     doc = F.struct(*[F.col(c) for c in keep]).alias("_doc")
     found = docs.select(doc, measured(F.col(text), _code(lang)).alias("_m"), _code(lang).alias("_lang"), F.xxhash64(text).alias("_same"))
     found = common.written(found.withColumn("_row", F.monotonically_increasing_id()), "perplexity")
+    shared.destroy()
     plain = found.filter(F.size("_m.rare") == 0).withColumn("_more", F.lit(0.0))
     rest = found.filter(F.size("_m.rare") > 0)
     each = rest.select("_row", F.explode(F.arrays_zip(F.col("_m.rare").alias("key"), F.col("_m.times").alias("n"))).alias("_e")).select("_row", F.col("_e.key").alias("key"), F.col("_e.n").alias("_n"))

@@ -398,3 +398,27 @@ def test_frequent_entries_are_predicted_once_for_all_tasks(spark):
     data, offsets, before = np.frombuffer(b"abcde", dtype=np.uint8), np.array([0, 1, 3, 5]), np.zeros(3, dtype=np.uint8)
     assert list(memory(keys, data, offsets, before)) == [3, 1, -2] == list(memory(keys, data, offsets, before))
     assert list(memory.keys) == [7]
+
+
+def test_packed_runs_leave_in_small_batches():
+    held = np.random.default_rng(2).integers(0, 1 << jaccard.KEPT_BITS, 3 * jaccard.SENT, dtype=np.uint64)
+    wanted = np.sort(held)
+    runs = list(jaccard.packed_runs(held, 64, jaccard.KEPT_BITS - 6))
+    assert max(x.nbytes for x in runs) < 8 * 1.2 * jaccard.SENT and len(runs) > 2
+    found = [np.cumsum(jaccard._unpack(x, np.uint64), dtype=np.uint64) for run in runs for x in run["grams"].to_pylist()]
+    assert (np.concatenate(found) == np.unique(wanted)).all()
+    assert list(jaccard.packed_runs(held[:1], 64, jaccard.KEPT_BITS - 6))[0].num_rows == 1
+
+
+def test_counts_of_blocks_are_added_up_before_they_leave():
+    """A task works on small blocks, and yet sends each 4-gram about once."""
+    texts = [("%d and so on " % (i * 7919)) * 20 for i in range(9_000)]
+    codes, parts = np.zeros(len(texts), dtype=np.uint64), []
+    for block in words.blocks(pa.array(texts)):
+        parts.append(words.tallied(perplexity.keys_of(block, codes)[0]))
+    assert len(parts) > 1
+    sent = list(perplexity.merged(parts))
+    wanted = words.tallied(np.concatenate([perplexity.keys_of(b, codes)[0] for b in words.blocks(pa.array(texts), 1 << 30)]))
+    assert (np.concatenate([x["key"].to_numpy() for x in sent]) == wanted[0].astype(np.int64)).all()
+    assert (np.concatenate([x["n"].to_numpy() for x in sent]) == wanted[1]).all()
+    assert list(perplexity.merged([])) == []
