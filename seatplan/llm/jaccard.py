@@ -32,13 +32,12 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatplan.llm import common
 from seatplan.llm.components import components
-from seatplan.llm.words import LOWER, Block, Lookup, U, blocks, hashes, mix, tallied, windows, words
+from seatplan.llm.words import LOWER, Block, Lookup, U, blocks, hashes, mix, packed, tallied, unpacked, windows, words
 
 #: Bits of a hash that the count keeps, and of the bitmap of hashes that occur twice (16 MB).
 KEPT_BITS, MAP_BITS = 40, 27
@@ -82,13 +81,7 @@ def sets(block: Block, size: int) -> Iterator[np.ndarray]:
             yield grams[:0]
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes())
-
-
-def _unpack(data: bytes, kind: type) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+_pack, _unpack = packed, unpacked
 
 
 @dataclass(frozen=True)

@@ -422,3 +422,47 @@ def test_counts_of_blocks_are_added_up_before_they_leave():
     assert (np.concatenate([x["key"].to_numpy() for x in sent]) == wanted[0].astype(np.int64)).all()
     assert (np.concatenate([x["n"].to_numpy() for x in sent]) == wanted[1]).all()
     assert list(perplexity.merged([])) == []
+
+
+def test_only_entries_without_shared_costs_are_put_in_order(monkeypatch):
+    block = next(words.blocks(pa.array(["one two one three", "two  four", None, "five"])))
+    data, starts, ends, before, h, entry, n = context_mixing.listed(block)
+    assert n.tolist() == [5, 3, 1, 2]
+    names = [bytes(data[a:b]) for a, b in zip(starts, ends, strict=True)]
+    wanted = b"one two one three END two four END END five END".split()
+    assert [names[i] for i in entry] == [b"\n" if x == b"END" else x for x in wanted]
+    packed, offsets, *_, again, _ = context_mixing.entries(block)
+    assert [bytes(packed[offsets[i] : offsets[i + 1]]) for i in again] == [names[i] for i in entry]
+
+    class Length:
+        def log10(self, data, offsets, before):
+            return -np.diff(offsets).astype(float)
+
+    keys = context_mixing.named(h, before)
+    shared = np.sort(keys)[::2]
+    sorted_ = []
+    monkeypatch.setattr(context_mixing, "in_order", lambda data, starts, ends, before, f=context_mixing.in_order: sorted_.append(len(starts)) or f(data, starts, ends, before))
+    costs = context_mixing.Costs(Length(), 10, words.Lookup(shared), np.full(len(shared), 7.0))
+    got = costs.of(keys, data, starts, ends, before)
+    assert got.tolist() == [7.0 if k in set(shared.tolist()) else float(a - b) for k, a, b in zip(keys.tolist(), starts, ends, strict=True)]
+    assert sorted_ == [len(keys) - len(shared)]
+
+
+def test_bit_counts_travel_packed(spark):
+    """A task sends a few parts, not a row for each slot; the sums are those of all entries."""
+    docs = spark.createDataFrame([(i, f"word{i % 7} and word{i % 5} again") for i in range(200)], "doc_id long, text string")
+    s = context_mixing.Settings(bits=(10, 11, 12, 13, 19))
+    counted = context_mixing.count(docs, s)
+    model = context_mixing.fit(docs, s).model
+    rows = context_mixing.bit_counts(counted, spark.sparkContext.broadcast((model.code, model.begun)), s).collect()
+    one = pa.Table.from_batches(counted.toArrow().to_batches()).combine_chunks().to_batches()[0]
+    edges = context_mixing.first_slots(s.bits)
+    wanted, found = np.zeros(2 * edges[-1]), context_mixing.bits_of(*context_mixing._columns(one), model.code, s.bits, model.begun)
+    weight = found.spread(one.column("n").to_numpy().astype(float))
+    for k, slot in enumerate(found.slots):
+        np.add.at(wanted, 2 * (slot + edges[k]) + found.bit, weight if k < context_mixing.PREDICTORS - 1 else weight * found.begun)
+    got = np.zeros(len(wanted))
+    for r in rows:
+        sums = words.unpacked(bytes(r["counts"]), np.float32)
+        got[r["part"] * context_mixing.PART :][: len(sums)] = sums
+    assert len(rows) <= -(-len(wanted) // context_mixing.PART) and (got == wanted).all()
