@@ -466,3 +466,79 @@ def test_bit_counts_travel_packed(spark):
         sums = words.unpacked(bytes(r["counts"]), np.float32)
         got[r["part"] * context_mixing.PART :][: len(sums)] = sums
     assert len(rows) <= -(-len(wanted) // context_mixing.PART) and (got == wanted).all()
+
+
+def test_word_so_far_is_known_of_every_word(spark):
+    """Words that no four bytes tell, more than there were frequent ones once: the rarest, too, are known once they are told from the others."""
+    rnd = random.Random(6)
+    vocabulary = sorted({"".join(rnd.choice("ab") for _ in range(24)) for _ in range(69_000)})
+    rnd.shuffle(vocabulary)
+    rare = vocabulary[:2_000]
+    tokens = vocabulary[2_000:] * 3 + rare * 2
+    rnd.shuffle(tokens)
+    docs = spark.createDataFrame([(k, " ".join(tokens[k * 1_000 : (k + 1) * 1_000])) for k in range(len(tokens) // 1_000 + 1)], "doc_id long, text string")
+    trained = context_mixing.fit(docs)
+    keys, costs = trained.frequent
+    h = words.hashes(np.frombuffer("".join(rare).encode(), dtype=np.uint8), np.arange(len(rare)) * 24, np.arange(1, len(rare) + 1) * 24)
+    place = np.concatenate([words.Lookup(keys)(context_mixing.named(h, np.full(len(h), ord(x), dtype=np.uint8))) for x in "ab"])
+    assert (place >= 0).sum() > len(rare)
+    assert costs[place[place >= 0]].mean() > -6.2 > -24 * math.log10(2) + 0.8
+    new = sorted({"".join(rnd.choice("ab") for _ in range(24)) for _ in range(200)} - set(vocabulary))
+    found = context_mixing.score(spark.createDataFrame([(k, x) for k, x in enumerate(new)], "doc_id long, text string"), trained).collect()
+    assert sum(r["n_known"] for r in found) == len(new) and sum(r["score"] for r in found) / len(new) < -7
+
+
+def test_bits_behind_the_word_so_far_are_counted():
+    given = [(b"there", 3), (b"then", 2), (b"the", 7), (b"thaw", 1), (b"other", 4), (b"\n", 9), (b"there", 5)]
+    code = context_mixing.Code(np.bincount(np.frombuffer(b"".join(w * n for w, n in given), dtype=np.uint8), minlength=256))
+    data, offsets = np.frombuffer(b"".join(w for w, _ in given), dtype=np.uint8), np.cumsum([0, *(len(w) for w, _ in given)])
+    before, n = np.array([10, 32, 101, 101, 101, 101, 101], dtype=np.uint8), np.array([n for _, n in given])
+    wanted, paths = defaultdict(lambda: [0, 0]), []
+    for word, k in given:
+        whole = word if word == b"\n" else word + b" "
+        path = [(whole[:i], code.nodes[j], code.bits[j]) for i, x in enumerate(whole) for j in range(code.first[x], code.first[x] + code.length[x])]
+        paths.append([x[:2] for x in path])
+        for prefix, node, bit in path:
+            wanted[prefix, node][bit] += k
+    found = context_mixing.bits_of(data, offsets, before, code, context_mixing.Settings().bits, words.Lookup(np.zeros(0, dtype=np.uint64)))
+    assert len(found.inner.bits) == len(found.bit) and not found.begun.any()
+    for bit in (0, 1):
+        assert found.sums(found.behind(n)[found.inner.at, bit]).tolist() == [sum(wanted[x][bit] for x in path) for path in paths]
+
+
+def test_chunks_tell_what_one_table_would(spark, monkeypatch):
+    """Words that begin alike lie in several chunks, and new ones between them; all are predicted as if one chunk held everything."""
+    monkeypatch.setattr(context_mixing, "CHUNK", 40)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        rnd = random.Random(7)
+        vocabulary = ["".join(rnd.choice(("the", "re", "in", "ö", "x")) for _ in range(rnd.randint(1, 6))) for _ in range(600)] + ["the" * 40, "the" * 41]
+        docs = spark.createDataFrame([(k, " ".join(rnd.choices(vocabulary, k=80))) for k in range(40)], "doc_id long, text string")
+        trained = context_mixing.fit(docs, context_mixing.Settings(shared=0))
+        assert len(trained.borders.numbers) > 10 and len(trained.model.begun.keys) > 10
+        rows = [pa.ipc.open_stream(bytes(r["entries"])).read_next_batch() for r in trained.chunks.collect()]
+        assert max(x.num_rows for x in rows) <= 80
+        assert sum(len(set(x["word"].to_pylist())) for x in rows) == trained.v == len(set().union(*(x["word"].to_pylist() for x in rows)))
+        learned = pa.Table.from_batches(rows).combine_chunks()
+        new = sorted({"".join(rnd.choice(("the", "re", "in", "ö", "y")) for _ in range(rnd.randint(1, 7))).encode() for _ in range(500)} - set(learned["word"].to_pylist()))
+        new += [w + b"!" for w in learned["word"].to_pylist()[:50]] + [w[:-1] + bytes([w[-1] + 1]) for r in rows for w in (min(r.column("word").to_pylist()), max(r.column("word").to_pylist()))]
+        new = sorted(set(new) - set(learned["word"].to_pylist()))
+        met = [(w, before, 0) for w in new for before in (10, 101)] + [(w, 200, 0) for w in sorted(set(learned["word"].to_pylist()))[::3]]
+        every = [*zip(learned["word"].to_pylist(), learned["before"].to_pylist(), learned["n"].to_pylist(), strict=True), *met]
+        data, offsets = np.frombuffer(b"".join(w for w, *_ in every), dtype=np.uint8), np.cumsum([0, *(len(w) for w, *_ in every)])
+        before, n = (np.array([x[k] for x in every]) for k in (1, 2))
+        # the slots' counts move into the one chunk
+        alone = context_mixing.Model(**{**vars(trained.model), "begun": words.Lookup(np.zeros(0, dtype=np.uint64))})
+        wanted = alone.log10(data, offsets, before.astype(np.uint8), n)
+        keys = context_mixing.named(words.hashes(data, offsets[:-1], offsets[1:]), before.astype(np.uint8)).view(np.int64)
+        count = Counter()
+        for w, _, k in every:
+            count[w] += k
+        got = {r["key"]: (r["cost"], r["c"]) for r in trained.costs.collect()}
+        unmet = spark.createDataFrame([(int(k), b, w) for k, (w, b, _) in zip(keys[-len(met) :], met, strict=True)], "key long, before int, word binary")
+        got |= {r["key"]: (r["cost"], r["c"]) for r in context_mixing.unmet_costs(unmet, trained).collect()}
+        assert len(got) == len(every) == len(set(keys.tolist()))
+        for key, cost, (word, *_) in zip(keys.tolist(), wanted, every, strict=True):
+            assert got[key] == (pytest.approx(cost, rel=1e-9), count[word]), word
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
